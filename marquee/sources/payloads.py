@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -43,6 +44,10 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def _whole_elements(name: str, fields: list[str]) -> Column:
+    return F.forall(name, lambda e: e.isNotNull() & _all([e[f].isNotNull() for f in fields]))
+
+
 def valid_payload(df: DataFrame, kind: str) -> Column:
     """True where every required field is present, nested ones included."""
     checks = [F.col(c).isNotNull() for c in REQUIRED[kind]]
@@ -50,8 +55,7 @@ def valid_payload(df: DataFrame, kind: str) -> Column:
         checks.append(F.col("_corrupt_record").isNull())
     for name, fields in NESTED_REQUIRED.items():
         if name in df.columns:
-            whole = F.forall(F.col(name), lambda e, fs=fields: e.isNotNull() & _all([e[f].isNotNull() for f in fs]))
-            checks.append(F.coalesce(whole, F.lit(True)))
+            checks.append(F.coalesce(_whole_elements(name, fields), F.lit(True)))
     if kind == "discover":
         checks.append(F.forall("genre_ids", lambda g: g.isNotNull()))
     return F.coalesce(_all(checks), F.lit(False))
@@ -68,10 +72,11 @@ def ingest_stamp(df: DataFrame, as_of: dt.datetime) -> DataFrame:
     return df.withColumn("last_updated_utc", stamp(as_of))
 
 
-def normalize_discover(items: DataFrame, as_of: dt.datetime) -> DataFrame:
+def normalize_discover(items: DataFrame, as_of: dt.datetime, carry: Sequence[str] = ()) -> DataFrame:
+    """Flat discover rows; ``carry`` names further columns to keep."""
     rows = items.select(
         F.col("id").alias("tmdb_id"), "title", "release_date", "vote_count", "vote_average", "popularity",
-        F.array_join(F.transform("genre_ids", lambda g: g.cast("string")), ",").alias("genre_ids"))
+        F.array_join(F.transform("genre_ids", lambda g: g.cast("string")), ",").alias("genre_ids"), *carry)
     return ingest_stamp(rows, as_of)
 
 
@@ -79,17 +84,19 @@ def _names(column: str, field: str = "name") -> Column:
     return F.array_join(F.transform(column, lambda e: e[field]), ",")
 
 
-def normalize_details(details: DataFrame, as_of: dt.datetime) -> DataFrame:
+def normalize_details(details: DataFrame, as_of: dt.datetime, carry: Sequence[str] = ()) -> DataFrame:
+    """Flat detail rows: object lists become comma-joined names."""
     rows = details.select(
         F.col("id").alias("tmdb_id"), "imdb_id", "title", "release_date", "status", "budget", "revenue", "runtime",
         "vote_count", "vote_average", "popularity",
         _names("genres").alias("genres"), _names("production_companies").alias("production_companies"),
         _names("production_countries").alias("production_countries"),
-        _names("spoken_languages", "english_name").alias("spoken_languages"), "overview")
+        _names("spoken_languages", "english_name").alias("spoken_languages"), "overview", *carry)
     return ingest_stamp(rows, as_of)
 
 
-def normalize_titles(titles: DataFrame, as_of: dt.datetime) -> DataFrame:
+def normalize_titles(titles: DataFrame, as_of: dt.datetime, carry: Sequence[str] = ()) -> DataFrame:
+    """Typed title rows; error answers are left out."""
     rows = titles.where("Response <> 'False'").select(
         F.col("imdbID").alias("imdb_id"), F.col("Title").alias("title"), parse.parse_digits("Year").alias("year"),
         F.col("Genre").alias("genre"), F.col("Director").alias("director"), F.col("Writer").alias("writer"),
@@ -99,7 +106,7 @@ def normalize_titles(titles: DataFrame, as_of: dt.datetime) -> DataFrame:
         parse.parse_minutes("Runtime").alias("runtime"), F.col("Language").alias("language"),
         F.col("Country").alias("country"), F.col("Rated").alias("rated"), F.col("Awards").alias("awards"),
         parse.rotten_tomatoes("Ratings").alias("rotten_tomatoes_rating"),
-        parse.metacritic("Ratings").alias("meta_critic_rating"))
+        parse.metacritic("Ratings").alias("meta_critic_rating"), *carry)
     return ingest_stamp(rows, as_of)
 
 
