@@ -38,19 +38,26 @@ def bayesian_ridge(gram: np.ndarray, xy: np.ndarray, yy: float, n: float, rounds
     return weights
 
 
+MAX_PATTERNS = 20_000
+
+
 class ChainedImputer(Estimator):
     """Fill each incomplete numeric column from a regression on all the others, in rounds.
 
-    Columns go from fewest to most missing cells, starting from medians. One regression is one
-    aggregate over the frame: the moments of the rows whose target is known. A solve on the driver
-    sees only a columns x columns matrix. Filled cells are column expressions; a round ends by writing
-    the frame to the shared folder, so neither the plan nor the lineage grows with the rounds. Stops
-    early once no cell moves by more than ``tolerance`` standard deviations.
+    Columns go from fewest to most missing cells, starting from medians. Rows with the same set of
+    gaps are filled by the same affine map, so a round only needs the moments of each gap pattern:
+    one aggregate over the data, grouped by pattern, serves every regression of every round, and the
+    rounds themselves are small matrix products on the driver. Beyond ``max_patterns`` patterns each
+    regression is an aggregate of its own and each round is written to the shared folder.
+
+    Stops early once the filled cells move by less than ``tolerance`` standard deviations (root mean
+    square).
     """
 
-    def __init__(self, columns: Sequence[str], rounds: int = 10, tolerance: float = 1e-3):
+    def __init__(self, columns: Sequence[str], rounds: int = 10, tolerance: float = 1e-3,
+                 max_patterns: int = MAX_PATTERNS):
         super().__init__()
-        self.columns, self.rounds, self.tolerance = list(columns), rounds, tolerance
+        self.columns, self.rounds, self.tolerance, self.max_patterns = list(columns), rounds, tolerance, max_patterns
 
     @staticmethod
     def _cell(c: str) -> Column:
@@ -71,21 +78,78 @@ class ChainedImputer(Estimator):
             total = total + F.lit(float(w)) * F.col(f"v_{c}")
         return total
 
-    def _moments(self, frame: DataFrame, target: str, names: list[str]) -> dict:
-        """Regression of one column on the others over the rows where it is known."""
-        known = frame.where(~F.col(f"m_{target}"))
-        ordered = [c for c in names if c != target] + [target]
-        k = len(ordered)
-        sums = [F.sum(f"v_{c}") for c in ordered]
-        products = [F.sum(F.col(f"v_{ordered[i]}") * F.col(f"v_{ordered[j]}")) for i in range(k) for j in range(i, k)]
-        row = known.agg(F.count("*"), *[s.alias(f"a{i}") for i, s in enumerate(sums + products)]).first()
-        n = row[0]
-        mean = np.array(row[1:1 + k]) / n
-        cross = np.zeros((k, k))
-        cross[np.triu_indices(k)] = row[1 + k:]
-        cross = np.triu(cross) + np.triu(cross, 1).T - n * np.outer(mean, mean)
-        weights = bayesian_ridge(cross[:-1, :-1], cross[:-1, -1], float(cross[-1, -1]), float(n))
-        return {"intercept": mean[-1] - weights @ mean[:-1], "weights": dict(zip(ordered[:-1], weights))}
+    @staticmethod
+    def _regression(moments: np.ndarray, target: str, names: list[str]) -> dict:
+        """Model of one column on the others, from the summed products of (1, columns)."""
+        n = moments[0, 0]
+        mean = moments[0, 1:] / n
+        cross = moments[1:, 1:] - n * np.outer(mean, mean)
+        at = names.index(target)
+        rest = [i for i in range(len(names)) if i != at]
+        weights = bayesian_ridge(cross[np.ix_(rest, rest)], cross[rest, at], float(cross[at, at]), float(n))
+        return {"intercept": float(mean[at] - weights @ mean[rest]),
+                "weights": {names[i]: float(w) for i, w in zip(rest, weights)}}
+
+    @staticmethod
+    def _moment_columns(names: list[str]) -> list[Column]:
+        """Summed products of (1, columns), upper triangle row by row."""
+        values = [F.lit(1.0)] + [F.col(f"v_{c}") for c in names]
+        pairs = [(i, j) for i in range(len(values)) for j in range(i, len(values))]
+        return [F.sum(values[i] * values[j]).alias(f"p{i}_{j}") for i, j in pairs]
+
+    @staticmethod
+    def _square(flat: Sequence[float], k: int) -> np.ndarray:
+        out = np.zeros((k + 1, k + 1))
+        out[np.triu_indices(k + 1)] = flat
+        return np.triu(out) + np.triu(out, 1).T
+
+    def _fit_on_patterns(self, rows: list, names: list[str], gaps: list[str]) -> list:
+        """All rounds from per-pattern moments. A pattern's map takes a started row to its current fill."""
+        k = len(names)
+        missing = np.array([[bool(r["pattern"] >> i & 1) for i in range(len(gaps))] for r in rows])
+        start = np.stack([self._square(r[1:], k) for r in rows])
+        maps = np.tile(np.eye(k + 1), (len(rows), 1, 1))
+        history = []
+        for _ in range(self.rounds):
+            steps, moved = [], 0.0
+            for g, target in enumerate(gaps):
+                known = maps[~missing[:, g]]
+                moments = (known @ start[~missing[:, g]] @ known.transpose(0, 2, 1)).sum(axis=0)
+                model = self._regression(moments, target, names)
+                steps.append((target, model))
+                line = np.array([model["intercept"]] + [model["weights"].get(c, 0.0) for c in names])
+                at, hit = names.index(target) + 1, missing[:, g]
+                fresh = line @ maps[hit]
+                change = fresh - maps[hit][:, at]
+                moved += float(np.einsum("pi,pij,pj->", change, start[hit], change))
+                maps[hit, at] = fresh
+            history.append(steps)
+            cells = float((missing.sum(axis=1) * start[:, 0, 0]).sum())
+            if np.sqrt(max(moved, 0.0) / cells) < self.tolerance:
+                break
+        return history
+
+    def _fit_by_passes(self, frame: DataFrame, names: list[str], gaps: list[str]) -> list:
+        """All rounds with one aggregate per regression, for frames with very many gap patterns."""
+        history = []
+        for _ in range(self.rounds):
+            steps, moved = [], frame.select("*", *[F.col(f"v_{c}").alias(f"o_{c}") for c in gaps])
+            for target in gaps:
+                sums = moved.where(~F.col(f"m_{target}")).agg(*self._moment_columns(names)).first()
+                model = self._regression(self._square(sums, len(names)), target, names)
+                steps.append((target, model))
+                moved = moved.withColumn(
+                    f"v_{target}", F.when(F.col(f"m_{target}"), self._prediction(model)).otherwise(F.col(f"v_{target}")))
+            history.append(steps)
+            # The values before the round are written too, so the move needs no second evaluation.
+            frame = materialize(moved, "impute")
+            squares = sum(F.pow(F.col(f"v_{c}") - F.col(f"o_{c}"), 2) for c in gaps)
+            cells = sum(F.col(f"m_{c}").cast("int") for c in gaps)
+            move = frame.agg(F.sqrt(F.sum(squares) / F.sum(cells))).first()[0]
+            frame = frame.drop(*[f"o_{c}" for c in gaps])
+            if move < self.tolerance:
+                break
+        return history
 
     def _fit(self, dataset: DataFrame) -> FittedStep:
         names = self.columns
@@ -99,22 +163,16 @@ class ChainedImputer(Estimator):
         gaps = sorted((c for c in names if row[f"n_{c}"] < row["rows"]), key=lambda c: (-row[f"n_{c}"], c))
         medians = {r["feature"]: r["quantiles"][0] for r in exact_quantiles(dataset, names, [0.5]).collect()}
 
-        frame = materialize(self._standardized(dataset, stats, medians), "impute")
         history: list[list[tuple[str, dict]]] = []
-        for _ in range(self.rounds if gaps else 0):
-            steps, moved = [], frame.select("*", *[F.col(f"v_{c}").alias(f"o_{c}") for c in gaps])
-            for target in gaps:
-                model = self._moments(moved, target, names)
-                steps.append((target, model))
-                moved = moved.withColumn(
-                    f"v_{target}", F.when(F.col(f"m_{target}"), self._prediction(model)).otherwise(F.col(f"v_{target}")))
-            history.append(steps)
-            # The old values are written too, so the size of the move needs no second evaluation.
-            frame = materialize(moved, "impute")
-            shift = frame.agg(F.max(F.greatest(F.lit(0.0), *[F.abs(F.col(f"v_{c}") - F.col(f"o_{c}")) for c in gaps]))).first()[0]
-            frame = frame.drop(*[f"o_{c}" for c in gaps])
-            if shift is not None and shift < self.tolerance:
-                break
+        if gaps:
+            frame = self._standardized(dataset, stats, medians)
+            bits = sum(F.shiftleft(F.col(f"m_{c}").cast("long"), i) for i, c in enumerate(gaps))
+            patterns = frame.groupBy(bits.alias("pattern")).agg(*self._moment_columns(names))
+            rows = patterns.limit(self.max_patterns + 1).collect() if len(gaps) < 63 else None
+            if rows is not None and len(rows) <= self.max_patterns:
+                history = self._fit_on_patterns(rows, names, gaps)
+            else:
+                history = self._fit_by_passes(materialize(frame, "impute"), names, gaps)
 
         return FittedStep(_filler(names, stats, medians, history), history=history, stats=stats, medians=medians)
 

@@ -111,7 +111,7 @@ def impute_median(spark, sf):
 @query("impute_chained")
 def impute_chained(spark, sf):
     rows = modeling(spark, sf).select("movie_id", *IMPUTED)
-    return ChainedImputer(IMPUTED, rounds=3).fit(rows).transform(rows)
+    return ChainedImputer(IMPUTED).fit(rows).transform(rows)
 
 
 @query("column_select", with_views(
@@ -153,7 +153,7 @@ _GENRES = ["Action", "Comedy", "Documentary", "Drama", "Science_Fiction"]
 @query("multilabel_binarize", with_views(
     "SELECT movie_id, " + ", ".join(
         f"CAST(coalesce(list_contains(items, '{g}'), FALSE) AS INT) AS genre_names_{g}" for g in _GENRES)
-    + " FROM (SELECT movie_id, list_transform(string_split(genre_names, ','), x -> replace(trim(x), ' ', '_')) AS items FROM model_v)"))
+    + " FROM (SELECT movie_id, string_split(replace(regexp_replace(genre_names, '\\s*,\\s*', ',', 'g'), ' ', '_'), ',') AS items FROM model_v)"))
 def multilabel_binarize(spark, sf):
     rows = modeling(spark, sf).select("movie_id", "genre_names")
     return encode.MultiLabelBinarizer("genre_names").fit(rows).transform(rows)
