@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions.text import split_labels, strip
 from marquee.operators.joins import company_rows
-from marquee.operators.ranking import exact_quantiles, melt_numeric
+from marquee.operators.ranking import exact_quantiles, melt_numeric, value_profile
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -93,17 +92,11 @@ def counts_by_period(df: DataFrame, period: str = "year", date: str = "release_d
     return df.where(F.col(date).isNotNull()).groupBy(part.alias(f"release_{period}")).agg(F.count("*").alias("n"))
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return melt_numeric(df, columns).groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-
-
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation and exact quartiles per column."""
-    spread = exact_quantiles(df, columns, [0.0, 0.25, 0.5, 0.75, 1.0])
     names = ["min", "q25", "median", "q75", "max"]
-    parts = spread.select("feature", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)])
-    return _moments(df, columns).join(parts, "feature")
+    profile = value_profile(df, columns, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return profile.select("feature", "count", "mean", "std", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)])
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
@@ -153,22 +146,32 @@ def outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair over the rows that have both; one pass.
+    """Pearson correlation of every column pair over the rows that have both.
 
-    Returned long, both orders and the diagonal included.
+    Rows are grouped by which columns they have; the sums of a group serve every pair it has, so the
+    data is read once with one product per pair instead of five running values. Columns are centred on
+    their means first, which keeps the sums small. Returned long, both orders and the diagonal included.
     """
-    cells = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    pairs = list(combinations(range(len(columns)), 2))
-    one = cells.agg(*[F.corr(columns[i], columns[j]).alias(f"p{i}_{j}") for i, j in pairs],
-                    *[F.corr(c, c).alias(f"d{i}") for i, c in enumerate(columns)])
-
-    def entry(a: int, b: int, value: str) -> Column:
-        return F.struct(F.lit(columns[a]).alias("feature_a"), F.lit(columns[b]).alias("feature_b"), F.col(value).alias("corr"))
-
-    rows = [entry(i, i, f"d{i}") for i in range(len(columns))]
-    for i, j in pairs:
-        rows += [entry(i, j, f"p{i}_{j}"), entry(j, i, f"p{i}_{j}")]
-    return one.select(F.inline(F.array(*rows)))
+    k = range(len(columns))
+    cells = df.selectExpr(*[f"nanvl(CAST(`{c}` AS DOUBLE), NULL) AS x{i}" for i, c in enumerate(columns)])
+    means = cells.selectExpr(*[f"avg(x{i}) AS m{i}" for i in k]).first()
+    has = " + ".join(f"shiftleft(CAST(x{i} IS NOT NULL AS BIGINT), {i})" for i in k)
+    centred = cells.selectExpr(f"{has} AS has", *[
+        f"coalesce(x{i} - CAST({means[i] or 0.0!r} AS DOUBLE), 0D) AS x{i}" for i in k])
+    pairs = [(i, j) for i in k for j in k if i <= j]
+    groups = centred.groupBy("has").agg(
+        F.expr("CAST(count(*) AS DOUBLE) AS n"), *[F.expr(f"sum(x{i}) AS s{i}") for i in k],
+        *[F.expr(f"sum(x{i} * x{j}) AS p{i}_{j}") for i, j in pairs])
+    # From here on there is at most one row per set of present columns.
+    entries = ", ".join(
+        f"struct({i} AS i, {j} AS j, n, s{i} AS si, s{j} AS sj, p{i}_{i} AS sii, p{j}_{j} AS sjj, p{i}_{j} AS sij)" for i, j in pairs)
+    rows = groups.selectExpr("has", f"inline(array({entries}))").where("getbit(has, i) = 1 AND getbit(has, j) = 1")
+    sums = rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
+    corr = "try_divide(n * sij - si * sj, sqrt((n * sii - si * si) * (n * sjj - sj * sj))) AS corr"
+    orders = "explode(array_distinct(array(struct(i AS a, j AS b), struct(j AS a, i AS b)))) AS at"
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.selectExpr(corr, orders).select(
+        names[F.col("at.a")].alias("feature_a"), names[F.col("at.b")].alias("feature_b"), "corr")
 
 
 def scatter_points(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -93,9 +93,9 @@ class ChainedImputer(Estimator):
     @staticmethod
     def _moment_columns(names: list[str]) -> list[Column]:
         """Summed products of (1, columns), upper triangle row by row."""
-        values = [F.lit(1.0)] + [F.col(f"v_{c}") for c in names]
+        values = ["1D"] + [f"`v_{c}`" for c in names]
         pairs = [(i, j) for i in range(len(values)) for j in range(i, len(values))]
-        return [F.sum(values[i] * values[j]).alias(f"p{i}_{j}") for i, j in pairs]
+        return [F.expr(f"sum({values[i]} * {values[j]}) AS p{i}_{j}") for i, j in pairs]
 
     @staticmethod
     def _square(flat: Sequence[float], k: int) -> np.ndarray:

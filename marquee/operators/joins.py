@@ -55,17 +55,18 @@ def lookup(left: DataFrame, right: DataFrame, key: str, columns: Sequence[tuple[
     spread rows without a key by; they match nothing, yet a shuffle on the bare key would put them all
     in one task.
     """
-    kept = [F.col(c) for c in left.columns]
-    added = right.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__r_{out}") for c, out in columns])
-    condition = F.col(key) == F.col("__key")
+    added = right.selectExpr(f"`{key}` AS __key", *[f"`{c}` AS `__r_{out}`" for c, out in columns])
+    kept = [f"`{c}`" for c in left.columns]
+    condition = F.expr(f"`{key}` = __key")
     if spread_by and how == "left":
         # Slot 0 is the only one on the right, so keyless rows in slots 1..1024 stay unmatched.
-        slot = F.when(F.col(key).isNull(), F.pmod(F.hash(spread_by), F.lit(1024)) + 1).otherwise(0)
-        fill = F.coalesce(key, F.lit("0").cast(left.schema[key].dataType))
-        left = left.withColumns({"__slot": slot, "__fill": fill})
-        added = added.withColumn("__rslot", F.lit(0))
-        condition = (F.col("__fill") == F.col("__key")) & (F.col("__slot") == F.col("__rslot"))
-    return left.join(added, condition, how).select(*kept, *[F.col(f"__r_{out}").alias(out) for _, out in columns])
+        kind = left.schema[key].dataType.simpleString()
+        left = left.selectExpr(
+            "*", f"CASE WHEN `{key}` IS NULL THEN pmod(hash(`{spread_by}`), 1024) + 1 ELSE 0 END AS __slot",
+            f"coalesce(`{key}`, CAST('0' AS {kind})) AS __fill")
+        added = added.selectExpr("*", "0 AS __rslot")
+        condition = F.expr("__fill = __key AND __slot = __rslot")
+    return left.join(added, condition, how).selectExpr(*kept, *[f"`__r_{out}` AS `{out}`" for _, out in columns])
 
 
 def latest_numbers(numbers: DataFrame) -> DataFrame:

@@ -52,8 +52,8 @@ def melt_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(cells)).where("value is not null")
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Linearly interpolated quantiles: one row per column, one array entry per probability.
+def value_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Per column: count, mean, sample deviation and linearly interpolated quantiles, in one pass.
 
     Equal values are counted before the shuffle, so a value that fills a third of the column is one
     row. Columns without values are left out.
@@ -63,12 +63,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     # A partition holds a bounded range of distinct values, so this window splits evenly.
     running = Window.partitionBy("__part", "feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     # One row per partition and column from here to the broadcast.
-    sizes = placed.groupBy("feature", "__part").agg(F.sum("n").alias("__size"))
-    ordered = Window.partitionBy("feature").orderBy("__part")
+    sizes = placed.groupBy("feature", "__part").agg(
+        F.sum("n").alias("__size"), F.sum(F.col("n") * F.col("value")).alias("__sum"))
+    whole = Window.partitionBy("feature")
+    ordered = whole.orderBy("__part")
     offsets = sizes.select(
         "feature", "__part",
         F.coalesce(F.sum("__size").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__size").over(Window.partitionBy("feature")).alias("__total"),
+        F.sum("__size").over(whole).alias("__total"),
+        (F.sum("__sum").over(whole) / F.sum("__size").over(whole)).alias("__mean"),
     )
     spans = (
         placed.withColumn("__end", F.sum("n").over(running))
@@ -86,12 +89,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         aggregates += [at(F.floor(target)).alias(f"lo{i}"), at(F.ceil(target)).alias(f"hi{i}")]
         share = F.lit(float(p)) * (F.col("total") - 1) - F.floor(F.lit(float(p)) * (F.col("total") - 1))
         values.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * share)
+    distance = F.col("value") - F.col("__mean")
     return (
-        spans.groupBy("feature").agg(F.max("__total").alias("total"), *aggregates)
-        .select("feature", F.col("total").alias("n"), F.array(*values).alias("quantiles"))
+        spans.groupBy("feature").agg(
+            F.max("__total").alias("total"), F.max("__mean").alias("mean"),
+            F.sum(F.col("n") * distance * distance).alias("squares"), *aggregates)
+        .select("feature", F.col("total").alias("count"), "mean",
+                F.sqrt(F.try_divide("squares", F.col("total") - 1)).alias("std"), F.array(*values).alias("quantiles"))
     )
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(feature, quantiles): one array entry per probability."""
+    return value_profile(df, columns, probs).select("feature", "quantiles")
+
+
 def hash_column(keys: Sequence[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
 
