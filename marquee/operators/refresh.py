@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions.dates import INTERVALS, age_category, days_since, refresh_interval, stamp, today
 from marquee.operators.ranking import with_dense_index
@@ -152,23 +152,37 @@ def never_refreshed(movies: DataFrame, as_of: dt.datetime, n: int = 10) -> DataF
     )
 
 
+HOT_SHARE = 1000
+SLOTS = 64
+
+
 def unchanged_cycles(snapshots: DataFrame, key: str, order: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """Per key, how many of the latest snapshots repeat the one before them without a gap.
 
-    The trailing run starts after the last snapshot whose payload differs from the newest one, so two
-    aggregates joined on the key answer it. No key's history is gathered in one task: the aggregates
-    merge before the shuffle and the adaptive join splits a hot key. Payloads compare NULL-safe;
-    ``order`` must be total within a key.
+    The trailing run starts after the last snapshot whose payload differs from the newest one: the
+    runner-up among the payloads' last dates. Then the snapshots after that date are counted. No key's
+    history is gathered in one task: payloads are merged before the shuffle, the runner-up comes from a
+    top-2 that is also cut before it, and the counting join is salted for hot keys. Payloads compare
+    NULL-safe; ``order`` must be total within a key.
     """
-    rows = snapshots.select(F.col(key), F.struct(*order).alias("at"), F.struct(*payload).alias("payload"))
-    newest = rows.groupBy(key).agg(F.max_by("payload", "at").alias("newest"))
-    marked = rows.join(newest, key).select(key, "at", (~F.col("payload").eqNullSafe(F.col("newest"))).alias("differs"))
-    last_change = marked.groupBy(key).agg(F.max(F.when(F.col("differs"), F.col("at"))).alias("changed_at"))
-    return (
-        marked.join(last_change, key)
-        .groupBy(key)
-        .agg((F.count_if(F.col("changed_at").isNull() | (F.col("at") > F.col("changed_at"))) - 1).alias("cycles"))
-    )
+    rows = snapshots.where(F.col(key).isNotNull()).select(
+        F.col(key), F.struct(*order).alias("at"), F.struct(*payload).alias("payload"))
+    last = rows.groupBy(key, "payload").agg(F.max("at").alias("at"), F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("at")))
+    top = last.select(key, "at", place.alias("place")).where("place <= 2")
+    changes = top.groupBy(key).agg(F.max(F.when(F.col("place") == 2, F.col("at"))).alias("changed_at"))
+
+    # A key is hot above a thousandth of all rows, so there are at most a thousand of them to broadcast.
+    sizes = last.groupBy(key).agg(F.sum("n").alias("size"))
+    hot = F.broadcast(sizes.where(F.col("size") * HOT_SHARE > rows.agg(F.count("*").alias("n")).scalar()).select(
+        key, F.lit(SLOTS).alias("__slots")))
+    salted = rows.select(key, "at").join(hot, key, "left").withColumn(
+        "__slot", F.pmod(F.hash("at"), F.coalesce("__slots", F.lit(1))))
+    copies = changes.join(hot, key, "left").withColumn(
+        "__slot", F.explode(F.sequence(F.lit(0), F.coalesce("__slots", F.lit(1)) - 1)))
+    counted = salted.drop("__slots").join(copies.drop("__slots"), [key, "__slot"])
+    repeats = F.count_if(F.col("changed_at").isNull() | (F.col("at") > F.col("changed_at"))) - 1
+    return counted.groupBy(key).agg(repeats.alias("cycles"))
 
 
 def dispatch_plan(queue: DataFrame, order: Sequence[Column], batch_size: int = 50, per_second: float = 4.0) -> DataFrame:

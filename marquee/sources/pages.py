@@ -47,19 +47,18 @@ def label_pairs(html: Column | str, marker: str = MARKER) -> Column:
 
 def label_values(html: Column | str, marker: str = MARKER) -> Column:
     """Label -> value map; the last of a repeated label wins, empty without a table."""
-    pairs = label_pairs(html, marker)
-    last_first = F.reverse(pairs)
-    labels = F.array_distinct(F.transform(pairs, lambda p: p["label"]))
-    return F.map_from_entries(F.transform(labels, lambda name: F.struct(
-        name.alias("key"), F.get(F.filter(last_first, lambda p: p["label"] == name), F.lit(0))["value"].alias("value"))))
+    # A fold reads the parsed pairs once; a lambda over them would parse the page again per label.
+    empty = F.create_map().cast("map<string,string>")
+    return F.aggregate(label_pairs(html, marker), empty, lambda seen, p: F.map_concat(
+        F.map_filter(seen, lambda k, v: k != p["label"]), F.create_map(p["label"], p["value"])))
 
 
 def first_hit(candidates: DataFrame, pages: DataFrame, key: str = "movie_id") -> DataFrame:
     """Per movie, the first candidate address whose page carries data."""
-    found = pages.select("url", label_values("html").alias("data")).where(F.size("data") > 0)
-    # Maps cannot be compared, but min_by only orders by position.
+    # Pages without data lose inside the aggregate. As a filter the test would parse each page twice.
+    parsed = pages.select("url", label_values("html").alias("data"))
+    best = F.min_by(F.struct("url", "data"), F.when(F.size("data") > 0, F.col("pos"))).alias("hit")
     return (
-        candidates.select(key, "pos", "url").join(found, "url")
-        .groupBy(key).agg(F.min_by(F.struct("url", "data"), "pos").alias("hit"))
-        .select(key, "hit.url", "hit.data")
+        candidates.select(key, "pos", "url").join(parsed, "url").groupBy(key).agg(best)
+        .where("hit is not null").select(key, "hit.url", "hit.data")
     )
