@@ -130,7 +130,7 @@ def _fences(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (outermost values within 1.5 IQR) and the number of outliers per column."""
-    fences = _fences(df, columns)
+    fences = _fences(df, columns)  # one row per column
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     value = F.when(inside, F.col("value"))
     return melt_numeric(df, columns).join(F.broadcast(fences), "feature").groupBy(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -52,51 +53,108 @@ def melt_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(cells)).where("value is not null")
 
 
-def value_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Per column: count, mean, sample deviation and linearly interpolated quantiles, in one pass.
+SKETCH_ACCURACY = 10_000
+_PROFILE = "feature string, count long, mean double, std double, quantiles array<double>"
 
-    Equal values are counted before the shuffle, so a value that fills a third of the column is one
-    row. Columns without values are left out.
+
+def value_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                  exact_below: int = 10 * SKETCH_ACCURACY) -> DataFrame:
+    """Per column: count, mean, sample deviation and exact, linearly interpolated quantiles.
+
+    A first pass sketches each column and brackets every quantile. The second counts single values
+    only inside the brackets; all values between two brackets count as one, which leaves the ranks
+    unchanged but next to nothing to shuffle. Should a quantile fall outside its bracket, the second
+    pass is repeated without brackets, as it is for columns of up to ``exact_below`` values. Columns
+    without values are left out; the result has one row per column.
     """
-    counts = melt_numeric(df, columns).groupBy("feature", "value").agg(F.count("*").alias("n"))
-    placed = _placed(counts, [F.col("feature"), F.col("value")], "quantiles")
-    # A partition holds a bounded range of distinct values, so this window splits evenly.
-    running = Window.partitionBy("__part", "feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    values = melt_numeric(df, columns)
+    slack = 2 / SKETCH_ACCURACY
+    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
+    sketch = values.groupBy("feature").agg(
+        F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.percentile_approx("value", edges, SKETCH_ACCURACY).alias("edges")).collect()
+    if not sketch:
+        return df.sparkSession.createDataFrame([], _PROFILE)
+    brackets = {r["feature"]: _brackets(r["edges"], probs, slack) for r in sketch if r["n"] > exact_below}
+    found = _at_ranks(values, probs, brackets)
+    if any(r["outside"] for r in found.values()):
+        found = _at_ranks(values, probs, {})
+    rows = []
+    for r in sketch:
+        quantiles = []
+        for i, p in enumerate(probs):
+            low, high, place = found[r["feature"]][f"lo{i}"], found[r["feature"]][f"hi{i}"], p * (r["n"] - 1)
+            quantiles.append(low + (high - low) * (place - math.floor(place)))
+        rows.append((r["feature"], r["n"], r["mean"], r["std"], quantiles))
+    return df.sparkSession.createDataFrame(rows, _PROFILE)
+
+
+def _brackets(edges: Sequence[float], probs: Sequence[float], slack: float) -> list[tuple[float, float]]:
+    """Disjoint value ranges, in order, around the sketched quantiles."""
+    ranges = sorted(
+        (-math.inf if p <= slack else edges[2 * i], math.inf if p >= 1 - slack else edges[2 * i + 1])
+        for i, p in enumerate(probs))
+    merged = [ranges[0]]
+    for low, high in ranges[1:]:
+        if low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], high))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _snapped(brackets: dict[str, list[tuple[float, float]]]) -> Column:
+    """struct(value, side): the value itself (side 0), or the bracket end next to it."""
+    def pair(value: str, side: int) -> str:
+        return f"named_struct('value', {value}, 'side', {side})"
+
+    def number(x: float) -> str:
+        return f"CAST('{x!r}' AS DOUBLE)"
+
+    itself, cases = pair("value", 0), []
+    for feature, ranges in brackets.items():
+        steps = [] if ranges[0][0] == -math.inf else [f"WHEN value < {number(ranges[0][0])} THEN {pair(number(ranges[0][0]), -1)}"]
+        for i, (low, high) in enumerate(ranges):
+            if i:
+                steps.append(f"WHEN value < {number(low)} THEN {pair(number(ranges[i - 1][1]), 1)}")
+            steps.append(f"WHEN {'true' if high == math.inf else 'value <= ' + number(high)} THEN {itself}")
+        steps.append(f"ELSE {pair(number(ranges[-1][1]), 1)}" if ranges[-1][1] != math.inf else f"ELSE {itself}")
+        quoted = feature.replace("\\", "\\\\").replace("'", "\\'")
+        cases.append(f"WHEN feature = '{quoted}' THEN CASE {' '.join(steps)} END")
+    return F.expr(f"CASE {' '.join(cases)} ELSE {itself} END" if cases else itself)
+
+
+def _at_ranks(values: DataFrame, probs: Sequence[float], brackets: dict) -> dict[str, dict]:
+    """The values at both ranks next to each quantile, by column, and whether one was not a single value."""
+    snapped = values.select("feature", _snapped(brackets).alias("at")).selectExpr(
+        "feature", "at.value", "at.side")
+    # Equal values are counted before the shuffle: one that fills a third of a column is one row.
+    counts = snapped.groupBy("feature", "value", "side").agg(F.count("*").alias("n"))
+    placed = _placed(counts, [F.col("feature"), F.col("value"), F.col("side")], "quantiles")
+    # A partition holds a bounded range of values, so this window splits evenly.
+    running = Window.partitionBy("__part", "feature").orderBy("value", "side").rowsBetween(Window.unboundedPreceding, 0)
     # One row per partition and column from here to the broadcast.
-    sizes = placed.groupBy("feature", "__part").agg(
-        F.sum("n").alias("__size"), F.sum(F.col("n") * F.col("value")).alias("__sum"))
+    sizes = placed.groupBy("feature", "__part").agg(F.sum("n").alias("__size"))
     whole = Window.partitionBy("feature")
-    ordered = whole.orderBy("__part")
+    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "feature", "__part",
-        F.coalesce(F.sum("__size").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__size").over(whole).alias("__total"),
-        (F.sum("__sum").over(whole) / F.sum("__size").over(whole)).alias("__mean"),
-    )
+        "feature", "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
+        F.sum("__size").over(whole).alias("__total"))
     spans = (
         placed.withColumn("__end", F.sum("n").over(running))
         .join(F.broadcast(offsets), ["feature", "__part"])
         .withColumn("__end", F.col("__end") + F.col("__before"))
         .withColumn("__start", F.col("__end") - F.col("n"))
     )
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((F.col("__start") <= position) & (position < F.col("__end")), F.col("value")))
-
-    aggregates, values = [], []
+    aggregates, hits = [], []
     for i, p in enumerate(probs):
-        target = F.lit(float(p)) * (F.col("__total") - 1)
-        aggregates += [at(F.floor(target)).alias(f"lo{i}"), at(F.ceil(target)).alias(f"hi{i}")]
-        share = F.lit(float(p)) * (F.col("total") - 1) - F.floor(F.lit(float(p)) * (F.col("total") - 1))
-        values.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * share)
-    distance = F.col("value") - F.col("__mean")
-    return (
-        spans.groupBy("feature").agg(
-            F.max("__total").alias("total"), F.max("__mean").alias("mean"),
-            F.sum(F.col("n") * distance * distance).alias("squares"), *aggregates)
-        .select("feature", F.col("total").alias("count"), "mean",
-                F.sqrt(F.try_divide("squares", F.col("total") - 1)).alias("std"), F.array(*values).alias("quantiles"))
-    )
+        for name, near in (("lo", F.floor), ("hi", F.ceil)):
+            rank = near(F.lit(float(p)) * (F.col("__total") - 1))
+            hit = (F.col("__start") <= rank) & (rank < F.col("__end"))
+            aggregates.append(F.max(F.when(hit, F.col("value"))).alias(f"{name}{i}"))
+            hits.append(hit)
+    outside = F.max((F.col("side") != 0) & reduce(lambda a, b: a | b, hits)).alias("outside")
+    return {r["feature"]: r.asDict() for r in spans.groupBy("feature").agg(outside, *aggregates).collect()}
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:

@@ -28,9 +28,11 @@ def test_dense_index_is_gap_free_and_ordered(spark, skewed):
     assert sorted(r["rn"] for r in rows) == list(range(1, 3001))
 
 
-def test_profile_matches_numpy(spark, skewed):
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r["feature"]: r for r in value_profile(skewed, ["x", "y"], probs).collect()}
+@pytest.mark.parametrize("exact_below", [0, 100_000])
+@pytest.mark.parametrize("probs", [[0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0], [0.5]])
+def test_profile_matches_numpy(spark, skewed, probs, exact_below):
+    """With and without brackets; at this size a rank may also miss its bracket and start over."""
+    got = {r["feature"]: r for r in value_profile(skewed, ["x", "y"], probs, exact_below).collect()}
     for name in ("x", "y"):
         values = np.array([r[0] for r in skewed.select(name).collect() if r[0] is not None and not np.isnan(r[0])])
         assert got[name]["count"] == len(values)
@@ -38,6 +40,17 @@ def test_profile_matches_numpy(spark, skewed):
         assert np.isclose(got[name]["mean"], values.mean()) and np.isclose(got[name]["std"], values.std(ddof=1))
 
 
+def test_profile_of_many_values(spark):
+    """Large enough for the brackets to hold: few single values are counted, the quantiles stay exact."""
+    rows = spark.range(150_000).select(
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1000).alias("x"),
+        (-F.col("id") * 0.25).alias("y"))
+    got = {r["feature"]: r for r in value_profile(rows, ["x", "y"], [0.0, 0.25, 0.5, 0.75, 1.0]).collect()}
+    for name in ("x", "y"):
+        values = np.array([r[0] for r in rows.select(name).collect()])
+        assert np.allclose(got[name]["quantiles"], np.quantile(values, [0, 0.25, 0.5, 0.75, 1]), rtol=1e-12)
+
+
 def test_median_of_even_and_single(spark):
     rows = spark.createDataFrame([(1.0, 5.0), (2.0, None), (10.0, None), (4.0, None)], "a double, b double")
     got = {r["feature"]: r["quantiles"][0] for r in exact_quantiles(rows, ["a", "b"], [0.5]).collect()}
