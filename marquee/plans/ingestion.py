@@ -306,11 +306,10 @@ def stream_ingest(spark, sf):
     path, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
 
     def normalize(batch):
-        flat = payloads.normalize_details(batch, AS_OF, carry=["fetched_at"])
-        return flat.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
+        return payloads.normalize_details(batch, AS_OF, carry=["fetched_at"])
 
     for part in (first, later):
-        part.select(F.to_json(F.struct(*columns, F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"))).alias("value")
+        part.select(F.to_json(F.struct(*columns, F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"))).alias("value")
                     ).write.mode("append").text(landing)
         ingest_stream(spark, landing, "details", normalize, path, ["tmdb_id"], checkpoint).awaitTermination()
     return tables.read_bucketed(spark, path).select("tmdb_id", "title", "fetched_at", "genres", "revenue")

@@ -127,6 +127,15 @@ def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Seq
     write_table(merged, table, root)
 
 
+def save_clustered(df: DataFrame, table: str, path: str, key: str, buckets: int, sort_by: str | None = None) -> None:
+    """Save as a table hashed on ``key``, so joins of equally bucketed tables on it need no shuffle.
+
+    ``sort_by`` orders the rows of a bucket, which lets filters on that column skip row groups.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(sort_by or key).saveAsTable(table)
+
+
 def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 

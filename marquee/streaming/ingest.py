@@ -36,17 +36,20 @@ def ingest_stream(spark: SparkSession, landing: str, kind: str, normalize: Calla
                   buckets: int = 16, files_per_batch: int = 1000) -> StreamingQuery:
     """Read payload files as they land, drop repeats within the watermark, upsert by key.
 
-    Payload lines carry ``fetched_at`` next to their own fields; it orders the versions of a row.
+    Payload lines carry ``fetched_at`` (UTC, without a zone) next to their own fields; it orders the
+    versions of a row.
     Invalid lines do not reach the table. Runs until all files present are taken.
     """
-    schema = _corrupt(PAYLOADS[kind]).add("fetched_at", "timestamp")
+    schema = _corrupt(PAYLOADS[kind]).add("fetched_at", "timestamp_ntz")
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
     valid = source.where(valid_payload(source, kind) & F.col("fetched_at").isNotNull())
     id_column = {"details": "id", "title": "imdbID", "discover": "id"}[kind]
-    once = valid.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark([id_column, "fetched_at"])
+    # Watermarks need a zoned type; the zone-free value is what gets stored.
+    timed = valid.withColumn("__event_time", F.col("fetched_at").cast("timestamp"))
+    once = timed.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark([id_column, "__event_time"])
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, normalize(batch), path, keys, stamp, buckets)
+        merge_batch(batch.sparkSession, normalize(batch.drop("__event_time")), path, keys, stamp, buckets)
 
     return (
         once.writeStream.outputMode("append").foreachBatch(take)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.dates import age_category, refresh_interval
 from marquee.operators import mutate, refresh
+from marquee.operators.joins import lookup
 from marquee.schemas import TABLE_DEFAULTS, TABLES
 from marquee.session import scratch_path
 from marquee.sources import frames, payloads, tables
@@ -191,3 +192,56 @@ def test_unchanged_cycles(spark):
     df = spark.createDataFrame(rows, "k string, at int, v string")
     got = {r["k"]: r["cycles"] for r in refresh.unchanged_cycles(df, "k", ["at"], ["v"]).collect()}
     assert got == {"x": 2, "y": 0, "z": 0, "u": 0, "v": 2, "n": 1}
+
+
+def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, database, no_broadcast):
+    name, root = database
+    left = spark.range(500).select(F.col("id").alias("tmdb_id"), F.col("id").alias("movie_id"))
+    right = spark.range(0, 500, 2).select(F.col("id").alias("tmdb_id"), F.lit("t").alias("title"))
+    tables.save_clustered(left, f"{name}.l", f"{root}/l", "tmdb_id", 4)
+    tables.save_clustered(right, f"{name}.r", f"{root}/r", "tmdb_id", 4)
+    joined = lookup(spark.table(f"{name}.l"), spark.table(f"{name}.r"), "tmdb_id", [("title", "title")])
+    assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+    assert joined.where("title is not null").count() == 250 and joined.count() == 500
+
+
+def test_rows_without_a_key_are_spread(spark, no_broadcast):
+    left = spark.range(1000).select(F.col("id").alias("movie_id"), F.when(F.col("id") < 10, F.lit("a")).alias("imdb_id"))
+    right = spark.createDataFrame([("a", 1), ("0", 2)], "imdb_id string, v int")
+    joined = lookup(left, right, "imdb_id", [("v", "v")], spread_by="movie_id")
+    assert joined.where("v = 1").count() == 10 and joined.where("v is null").count() == 990
+    assert "hashpartitioning(__fill" in plan_of(joined) and "__slot" in plan_of(joined)
+    zero = left.withColumn("imdb_id", F.lit("0"))
+    assert lookup(zero, right, "imdb_id", [("v", "v")], spread_by="movie_id").where("v = 2").count() == 1000
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf_dir):
+    from marquee.plans import catalog, derived
+
+    years = plan_of(catalog.QUERIES["year_range"](spark, sf_dir))
+    assert "GreaterThanOrEqual(release_date,1997-01-01)" in years and "LessThan(release_date,2000-01-01)" in years
+    derived.movies(spark, sf_dir)
+    stats = plan_of(catalog.QUERIES["collection_stats"](spark, sf_dir))
+    assert "title" not in stats.split("ReadSchema")[1]
+
+
+def test_hot_key_is_split(spark):
+    """Two thirds of the snapshots belong to one key."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 != 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("at"),
+        F.when(F.col("id") < 29_000, "a").otherwise("b").alias("v"))
+    got = {r["k"]: r["cycles"] for r in refresh.unchanged_cycles(rows, "k", ["at"], ["v"]).collect()}
+    assert got[0] == sum(1 for i in range(29_000, 30_000) if i % 3) - 1 and got[3] == 0 and len(got) == 10_000
