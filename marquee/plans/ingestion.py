@@ -258,7 +258,7 @@ def _financial_pages(spark, sf):
 
 @query("extract_label_values",
        "SELECT page_id, 'Production Budget' AS label, '$' || CAST(page_id AS VARCHAR) AS value FROM pages WHERE page_id % 10 <> 0 "
-       "UNION ALL SELECT page_id, 'Opening Weekend', '$1&2' FROM pages WHERE page_id % 10 <> 0")
+       "UNION ALL SELECT page_id, 'Opening' || chr(160) || 'Weekend', '$1&2' FROM pages WHERE page_id % 10 <> 0")
 def extract_label_values(spark, sf):
     return _financial_pages(spark, sf).select("page_id", F.explode(pages.label_values("html")).alias("label", "value"))
 

@@ -10,7 +10,8 @@ from marquee.functions.text import col, slugify, strip
 URL_WITH_YEAR = "https://www.the-numbers.com/movie/%s-(%s)"
 URL_PLAIN = "https://www.the-numbers.com/movie/%s#tab=summary"
 MARKER = "Production Budget"
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+TAG = r"(?s)<!--.*?-->|<[^>]*>"
+ENTITIES = {"&nbsp;": "\xa0", "&#160;": "\xa0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
 def candidate_urls(movies: DataFrame, title: str = "title", year: Column | None = None) -> DataFrame:
@@ -28,12 +29,26 @@ def _blocks(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?:</{tag}\s*>|(?=<{tag}\b)|\z)"), F.lit(1))
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a fragment: tags dropped, common entities resolved, outer whitespace trimmed."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
+def _decoded(text: Column) -> Column:
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(text)
+    return text
+
+
+def plain_text(html: Column) -> Column:
+    """Text of a fragment: comments and tags dropped, common entities resolved."""
+    return _decoded(F.regexp_replace(html, TAG, ""))
+
+
+def cell_text(html: Column) -> Column:
+    """Text of a table cell: the stretches between tags, each trimmed, joined without a gap."""
+    for entity in ("&nbsp;", "&#160;"):
+        html = F.replace(html, F.lit(entity), F.lit(ENTITIES[entity]))
+    # Tags become NUL marks, then the space on either side of a mark goes. Every pattern is anchored on
+    # a mark or the start of a run, so long runs of space cost no more than one look at each character.
+    marked = F.regexp_replace(html, TAG, "\x00")
+    marked = F.regexp_replace(marked, r"\x00[\s\xa0\x00]*+", "\x00")
+    return strip(_decoded(F.regexp_replace(marked, r"(?<![\s\xa0])[\s\xa0]*+\x00", "")))
 
 
 def label_pairs(html: Column | str, marker: str = MARKER) -> Column:
@@ -42,7 +57,7 @@ def label_pairs(html: Column | str, marker: str = MARKER) -> Column:
     rows = _blocks(F.coalesce(F.get(tables, F.lit(0)), F.lit("")), "tr")
     cells = F.filter(F.transform(rows, lambda r: _blocks(r, "td")), lambda c: F.size(c) == 2)
     return F.transform(cells, lambda c: F.struct(
-        plain_text(F.get(c, F.lit(0))).alias("label"), plain_text(F.get(c, F.lit(1))).alias("value")))
+        cell_text(F.get(c, F.lit(0))).alias("label"), cell_text(F.get(c, F.lit(1))).alias("value")))
 
 
 def label_values(html: Column | str, marker: str = MARKER) -> Column:

@@ -72,12 +72,24 @@ def test_page_table(spark):
                       "<tr><td>Opening Weekend</td><td><b>$10</b></td></tr></table>",
         "none": "<p>Production Budget</p>",
         "repeat": "<table><tr><td>Production Budget</td><td>1</td></tr><tr><td>Production Budget</td><td>2</td></tr></table>",
+        "pieces": "<table><tr><td>&nbsp;Production <i>Budget</i> </td><td><!-- x -->$ <b> 7</b>&amp;8</td></tr></table>",
         "null": None,
     }
     rows = spark.createDataFrame(list(html.items()), "k string, html string")
     got = {r["k"]: r["v"] for r in rows.select("k", pages.label_values("html").alias("v")).collect()}
     assert got["two tables"] == {"Production Budget": "$5,000", "Opening Weekend": "$10"}
-    assert got["none"] == {} and got["repeat"] == {"Production Budget": "2"} and not got["null"]
+    assert got["none"] == {} and got["pieces"] == {"ProductionBudget": "$7&8"}
+    assert got["repeat"] == {"Production Budget": "2"} and not got["null"]
+
+
+def test_long_page(spark):
+    """Long runs of spaces and a long cell need no deep recursion."""
+    from marquee.sources import pages
+
+    cell = "x" * 200_000
+    html = f"<table><tr><td>{' ' * 50_000}Production Budget</td><td>{cell}</td></tr></table>"
+    got = spark.createDataFrame([(html,)], "html string").select(pages.label_values("html").alias("v")).first()["v"]
+    assert got == {"Production Budget": cell}
 
 
 def test_candidate_without_year(spark):
