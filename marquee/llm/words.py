@@ -133,6 +133,14 @@ def runs(word_hash: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def within(first: np.ndarray, k: int) -> np.ndarray:
     """Positions at which ``k`` words of one row stand."""
     counts = np.maximum(np.diff(first) - k + 1, 0)
