@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from marquee.llm import bpe, decontaminate, license_scan, piece_counts, quality_rules, token_files  # noqa: F401
+from marquee.llm import bpe, decontaminate, html_text, license_scan, piece_counts, quality_rules, token_files  # noqa: F401
 from marquee.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
