@@ -147,6 +147,32 @@ def within(first: np.ndarray, k: int) -> np.ndarray:
     return spread(first[:-1], counts)
 
 
+def minimisers(first: np.ndarray, hashed: np.ndarray, k: int, w: int) -> np.ndarray:
+    """Positions of the least of every ``w`` consecutive ``k``-word hashes; equal stretches have equal ones.
+
+    Any ``w + k - 1`` words of one text hold a position. Windows that reach into the next text only add some.
+    """
+    at = within(first, k)
+    if not len(at):
+        return at
+    value = np.full(len(hashed) + 2 * w, np.iinfo(np.uint64).max, np.uint64)
+    value[at] = runs(hashed, k)[at]
+    least = _sliding(value, w, np.minimum)
+    # The windows over a position begin up to w - 1 places before it; the greatest of their minima tells whether it is one.
+    padded = np.concatenate([np.zeros(w - 1, np.uint64), least])
+    return at[_sliding(padded, w, np.maximum)[at] == value[at]]
+
+
+def _sliding(value: np.ndarray, w: int, pick) -> np.ndarray:
+    """``pick`` over ``w`` values from each place on; places near the end see fewer."""
+    out, span = value.copy(), 1
+    while span < w:
+        step = min(span, w - span)
+        out[:-step] = pick(out[:-step], out[step:])
+        span += step
+    return out
+
+
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``start, start + 1, …`` for every start, as many as its count."""
     ends = np.cumsum(counts)
