@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 class Rule(NamedTuple):
