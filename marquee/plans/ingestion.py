@@ -114,7 +114,7 @@ def describe_table(spark, sf):
 @query("sql", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 1000.5 AND o_orderpriority = '5-LOW' GROUP BY 1")
 def sql(spark, sf):
     return tables.run_sql(
-        spark, "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > ? AND o_orderpriority = ? GROUP BY 1",
+        spark, "SELECT o_orderstatus, count(*) AS n FROM {orders} WHERE o_totalprice > ? AND o_orderpriority = ? GROUP BY 1",
         [1000.5, "5-LOW"], orders=table(spark, sf, "orders"))
 
 
@@ -293,9 +293,12 @@ _FETCHED = "TIMESTAMP '2001-08-01 00:00:00' + (id % 24) * INTERVAL '1' HOUR"
 @query("ingest_stream", with_views(
     "SELECT id AS tmdb_id, CASE WHEN id % 3 = 0 THEN title || ' v2' ELSE title END AS title, "
     f"CASE WHEN id % 3 = 0 THEN {_FETCHED} + INTERVAL '12' HOUR ELSE {_FETCHED} END AS fetched_at, genres, revenue "
-    "FROM details_v WHERE status IS NOT NULL", **DETAILS_CTE))
+    "FROM details_v WHERE status IS NOT NULL UNION ALL "
+    f"SELECT id + 10000000, title || ' late', {_FETCHED} - INTERVAL '10' DAY, genres, revenue FROM details_v WHERE status IS NOT NULL AND id % 5 = 0",
+    **DETAILS_CTE))
 def stream_ingest(spark, sf):
-    """Two landings of the same movies, the second newer for a third of them and older for another third."""
+    """Landings of the same movies, the second newer for a third of them and older for another third; then new movies
+    that are ten days late, lines without a key, and the first landing once more."""
     rows = landed.details_rows(spark, sf)
     at = F.expr("TIMESTAMP_NTZ '2001-08-01 00:00:00' + (id % 24) * INTERVAL '1' HOUR")
     landing, columns = scratch_path(spark, "landing-stream"), rows.columns
@@ -303,12 +306,15 @@ def stream_ingest(spark, sf):
     later = first.withColumn("title", F.concat("title", F.lit(" v2"))).withColumn(
         "fetched_at", F.when(F.col("id") % 3 == 0, F.expr("fetched_at + INTERVAL '12' HOUR")).otherwise(
             F.expr("fetched_at - INTERVAL '5' HOUR"))).where("id % 3 <> 2")
+    late = first.where("id % 5 = 0").withColumns({
+        "id": F.col("id") + 10000000, "title": F.concat("title", F.lit(" late")), "fetched_at": F.expr("fetched_at - INTERVAL '10' DAY")})
+    keyless = first.where("id % 7 = 0").withColumn("id", F.lit(None).cast("bigint"))
     path, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
 
     def normalize(batch):
         return payloads.normalize_details(batch, AS_OF, carry=["fetched_at"])
 
-    for part in (first, later):
+    for part in (first, later, late.unionByName(keyless), first):
         part.select(F.to_json(F.struct(*columns, F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"))).alias("value")
                     ).write.mode("append").text(landing)
         ingest_stream(spark, landing, "details", normalize, path, ["tmdb_id"], checkpoint).awaitTermination()

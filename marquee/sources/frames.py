@@ -21,17 +21,19 @@ def _format_of(path: str, format: str | None) -> str:
     return chosen
 
 
-def read_frame(spark: SparkSession, path: str, format: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+def read_frame(spark: SparkSession, path: str, format: str | None = None, schema: T.StructType | str | None = None,
+               multi_line: bool = False) -> DataFrame:
     """Load parquet or csv; the format comes from the suffix unless given.
 
-    A csv read without ``schema`` costs an inference pass over the file.
+    A csv read without ``schema`` costs an inference pass over the file. ``multi_line`` allows line breaks in quoted
+    cells, and keeps a file in one task.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
     chosen = _format_of(path, format)
     reader = spark.read.format(chosen)
     if chosen == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
         reader = reader if schema else reader.option("inferSchema", True)
     return (reader.schema(schema) if schema else reader).load(path)
 

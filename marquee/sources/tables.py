@@ -8,6 +8,7 @@ rewrites only the buckets the batch touches.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 from typing import Any
@@ -15,7 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marquee.operators.mutate import upsert
-from marquee.schemas import TABLES, TABLE_DEFAULTS
+from marquee.schemas import TABLES, table_defaults
 from marquee.session import materialize
 from marquee.sources.frames import path_exists
 
@@ -81,7 +82,7 @@ def export_table(spark: SparkSession, table: str, path: str) -> str:
 
 def new_key_rows(store: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key, compared as text, the store lacks. Keyless rows are new."""
-    known = store.select(F.col(key).cast("string").alias("__known")).where("__known is not null").distinct()
+    known = store.select(F.col(key).cast("string").alias("__known")).where("__known is not null")
     return incoming.join(known, F.col(key).cast("string") == F.col("__known"), "left_anti")
 
 
@@ -114,16 +115,17 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str, params: Sequence[Any] | None = None, **frames: DataFrame) -> DataFrame:
-    """SQL with positional ``?`` parameters; ``frames`` become temporary views of the same names."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=list(params)) if params else spark.sql(text)
+    """SQL with positional ``?`` parameters; ``{name}`` in the text stands for the frame of that name.
+
+    No view is left in the session.
+    """
+    return spark.sql(text, args=list(params) if params else None, **frames)
 
 
 def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str], root: str,
-                 mode: str = "replace", order: Sequence[str] = ()) -> None:
-    """Upsert a batch into a catalog table by writing its next version."""
-    merged = upsert(spark.table(table), incoming, keys, mode, TABLE_DEFAULTS.get(table), order)
+                 mode: str = "replace", order: Sequence[str] = (), *, as_of: dt.datetime) -> None:
+    """Upsert a batch into a catalog table by writing its next version; new rows get the table's defaults."""
+    merged = upsert(spark.table(table), incoming, keys, mode, table_defaults(table, as_of), order)
     write_table(merged, table, root)
 
 
@@ -147,8 +149,18 @@ def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int)
     placed.repartition(BUCKET, F.pmod(F.hash(*keys), F.lit(8))).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+def read_bucketed(spark: SparkSession, path: str, touched_by: DataFrame | None = None, keys: Sequence[str] = (),
+                  buckets: int = 0) -> DataFrame:
+    """The rows of a bucketed folder, or only the buckets that rows of ``touched_by`` fall into."""
+    rows = spark.read.parquet(path)
+    if touched_by is not None:
+        rows = rows.where(F.col(BUCKET).isin(_touched(_with_bucket(touched_by.select(*keys), keys, buckets))))
+    return rows.drop(BUCKET)
+
+
+def _touched(batch: DataFrame) -> list[int]:
+    """At most as many numbers as there are buckets."""
+    return [r[0] for r in batch.select(BUCKET).distinct().collect()]
 
 
 def upsert_bucketed(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], buckets: int,
@@ -162,8 +174,7 @@ def upsert_bucketed(spark: SparkSession, path: str, incoming: DataFrame, keys: S
     kinds = {f.name: f.dataType for f in target.schema}
     batch = _with_bucket(
         incoming.select(*[F.col(c).cast(kinds[c]).alias(c) for c in incoming.columns]), keys, buckets)
-    # At most ``buckets`` numbers reach the driver.
-    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]
+    touched = _touched(batch)
     if not touched:
         return
     merged = upsert(target.where(F.col(BUCKET).isin(touched)), batch, [*keys, BUCKET], mode, None, order)

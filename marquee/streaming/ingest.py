@@ -27,31 +27,34 @@ def merge_batch(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     if not path_exists(spark, path):
         write_bucketed(rows, path, keys, buckets)
         return
-    fresh = materialize(newer_rows(read_bucketed(spark, path), rows, keys, stamp), "newer")
+    stored = read_bucketed(spark, path, rows, keys, buckets)
+    fresh = materialize(newer_rows(stored, rows, keys, stamp), "newer")
     upsert_bucketed(spark, path, fresh, keys, buckets)
 
 
 def ingest_stream(spark: SparkSession, landing: str, kind: str, normalize: Callable[[DataFrame], DataFrame], path: str,
-                  keys: Sequence[str], checkpoint: str, stamp: str = "fetched_at", delay: str = "1 day",
-                  buckets: int = 16, files_per_batch: int = 1000) -> StreamingQuery:
-    """Read payload files as they land, drop repeats within the watermark, upsert by key.
-
-    Payload lines carry ``fetched_at`` (UTC, without a zone) next to their own fields; it orders the
-    versions of a row.
-    Invalid lines do not reach the table. Runs until all files present are taken.
+                  keys: Sequence[str], checkpoint: str, stamp: str = "fetched_at", buckets: int = 16,
+                  files_per_batch: int = 1000, rejects: str | None = None) -> StreamingQuery:
+    """Read payload files as they land and upsert them by key.
+
+    Payload lines carry ``fetched_at`` (UTC, without a zone) next to their own fields; it orders the versions of a
+    row. There is no state and no watermark: the merge lets only newer stamps win, so repeats and replays change
+    nothing, and a row that arrives late is taken however old it is. Lines that are invalid, or lack the stamp or the
+    key, do not reach the table; with ``rejects`` they are kept there, one folder per batch. Runs until all
+    files present are taken.
     """
     schema = _corrupt(PAYLOADS[kind]).add("fetched_at", "timestamp_ntz")
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    valid = source.where(valid_payload(source, kind) & F.col("fetched_at").isNotNull())
     id_column = {"details": "id", "title": "imdbID", "discover": "id"}[kind]
-    # Watermarks need a zoned type; the zone-free value is what gets stored.
-    timed = valid.withColumn("__event_time", F.col("fetched_at").cast("timestamp"))
-    once = timed.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark([id_column, "__event_time"])
+    good = valid_payload(source, kind) & F.col("fetched_at").isNotNull() & F.col(id_column).isNotNull()
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, normalize(batch.drop("__event_time")), path, keys, stamp, buckets)
+        valid = batch.where("__good").drop("__good")
+        merge_batch(batch.sparkSession, normalize(valid), path, keys, stamp, buckets)
+        if rejects:
+            batch.where("NOT __good").drop("__good").write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
 
     return (
-        once.writeStream.outputMode("append").foreachBatch(take)
+        source.withColumn("__good", F.coalesce(good, F.lit(False))).writeStream.outputMode("append").foreachBatch(take)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
