@@ -32,8 +32,8 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], mode: st
            defaults: Mapping[str, Any] | None = None, order: Sequence[str] = ()) -> DataFrame:
     """The target after inserting ``incoming`` by key.
 
-    ``replace`` drops matching target rows, so columns the batch lacks fall back to ``defaults`` or
-    NULL. ``patch`` overwrites only the batch's columns. A NULL key matches nothing. Repeated keys in
+    ``replace`` drops matching target rows, so columns the batch lacks fall back to ``defaults`` (values or
+    column expressions) or NULL. ``patch`` overwrites only the batch's columns. A NULL key matches nothing. Repeated keys in
     the batch are first reduced to the latest by ``order``.
     """
     extra = [c for c in incoming.columns if c not in target.columns]
@@ -45,7 +45,7 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], mode: st
         *[F.col(c).cast(target.schema[c].dataType).alias(c) for c in incoming.columns])
 
     def complete(rows: DataFrame) -> DataFrame:
-        filled = {c: F.lit((defaults or {}).get(c)).cast(target.schema[c].dataType)
+        filled = {c: F.lit((defaults or {}).get(c)).cast(target.schema[c].dataType)  # lit leaves a column expression as it is
                   for c in target.columns if c not in rows.columns}
         return rows.withColumns(filled).select(*target.columns) if filled else rows.select(*target.columns)
 

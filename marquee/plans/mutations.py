@@ -9,7 +9,7 @@ from marquee.operators import cycle, mutate
 from marquee.plans.derived import AS_OF, movies, omdb, refresh_state, table, tmdb, with_views
 from marquee.plans.refreshes import _DAYS, _DUE, _QUEUE_ORDER, _elapsed
 from marquee.plans.registry import query
-from marquee.schemas import TABLE_DEFAULTS
+from marquee.schemas import TABLE_DEFAULTS, table_defaults
 from marquee.session import scratch_path
 from marquee.sources import tables
 
@@ -28,7 +28,8 @@ def _renamed(spark, sf):
 
 _COLUMNS = ["movie_id", "tmdb_id", "imdb_id", "title", "release_date", "created_at", "last_full_refresh", "last_tmdb_update",
             "last_omdb_update", "last_numbers_update", "data_frozen"]
-_NEW_ROW = {"tmdb_id": "b.tmdb_id", "title": "b.title", "release_date": "b.release_date", "data_frozen": "FALSE"}
+_NEW_ROW = {"tmdb_id": "b.tmdb_id", "title": "b.title", "release_date": "b.release_date",
+            "created_at": "TIMESTAMP '2001-08-02 12:00:00'", "data_frozen": "FALSE"}
 _REPLACED = (
     "SELECT m.* FROM movies_v m WHERE NOT EXISTS (SELECT 1 FROM batch_v b WHERE b.tmdb_id = m.tmdb_id) UNION ALL SELECT "
     + ", ".join(f"{_NEW_ROW.get(c, 'NULL')} AS {c}" for c in _COLUMNS) + " FROM batch_v b")
@@ -43,12 +44,12 @@ _PATCHED = (
 
 @query("upsert", with_views(_REPLACED, **_RENAMED))
 def upsert(spark, sf):
-    return mutate.upsert(movies(spark, sf), _renamed(spark, sf), ["tmdb_id"], "replace", TABLE_DEFAULTS["movies"])
+    return mutate.upsert(movies(spark, sf), _renamed(spark, sf), ["tmdb_id"], "replace", table_defaults("movies", AS_OF))
 
 
 @query("upsert_patch", with_views(_PATCHED, **_RENAMED))
 def upsert_patch(spark, sf):
-    return mutate.upsert(movies(spark, sf), _renamed(spark, sf), ["tmdb_id"], "patch", TABLE_DEFAULTS["movies"])
+    return mutate.upsert(movies(spark, sf), _renamed(spark, sf), ["tmdb_id"], "patch", table_defaults("movies", AS_OF))
 
 
 @query("upsert_table", with_views(_REPLACED, **_RENAMED))
@@ -58,8 +59,7 @@ def upsert_table(spark, sf):
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
     name = f"{database}.movies"
     tables.write_table(movies(spark, sf), name, root)
-    merged = mutate.upsert(spark.table(name), _renamed(spark, sf), ["tmdb_id"], "replace", TABLE_DEFAULTS["movies"])
-    tables.write_table(merged, name, root)
+    tables.upsert_table(spark, name, _renamed(spark, sf), ["tmdb_id"], root, as_of=AS_OF)
     return spark.table(name)
 
 
@@ -95,7 +95,7 @@ def assign_ids(spark, sf):
     "AS movie_id, * EXCLUDE (movie_id) FROM replaced_v", **_RENAMED, replaced_v=_REPLACED))
 def discover_upsert(spark, sf):
     batch = _renamed(spark, sf).withColumn("release_date", F.col("release_date").cast("string"))
-    return mutate.discover_upsert(movies(spark, sf), batch, "replace", TABLE_DEFAULTS["movies"])
+    return mutate.discover_upsert(movies(spark, sf), batch, "replace", table_defaults("movies", AS_OF))
 
 
 @query("stamp_updates", with_views(

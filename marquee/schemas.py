@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import Any
+
 from pyspark.sql import types as T
 
+from marquee.functions.dates import stamp
+
 STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 BOOL, DATE, STAMP = T.BooleanType(), T.DateType(), T.TimestampNTZType()
 
@@ -65,6 +70,14 @@ TABLE_DEFAULTS = {
     "movies": {"data_frozen": False},
     "movie_refresh_state": {"refresh_interval_days": 30, "freeze_after_days": 365, "frozen": False},
 }
+# Columns that take the time of the change in rows that do not name them.
+CHANGE_STAMPS = {"movies": ["created_at"]}
+
+
+def table_defaults(table: str, as_of: dt.datetime) -> dict[str, Any]:
+    """Defaults of a table by its bare or qualified name, for a change made at ``as_of``."""
+    bare = table.replace("`", "").rpartition(".")[2]
+    return {**TABLE_DEFAULTS.get(bare, {}), **{c: stamp(as_of) for c in CHANGE_STAMPS.get(bare, [])}}
 
 DISCOVER_ITEM = _table(
     ("id", LONG), ("title", STRING), ("release_date", STRING), ("vote_count", LONG), ("vote_average", DOUBLE),

@@ -38,8 +38,8 @@ def test_contract_tables_and_upsert(spark, database):
     assert tables.create_tables(spark, root, contracts) == tables.create_tables(spark, root, contracts)
     assert all(tables.table_exists(spark, t) for t in contracts) and not tables.table_exists(spark, f"{name}.none")
     target = f"{name}.movies"
-    tables.upsert_table(spark, target, movie(spark, [(12345, "Test Movie")]), ["tmdb_id"], root)
-    tables.upsert_table(spark, target, movie(spark, [(12345, "Test Movie UPDATED")]), ["tmdb_id"], root)
+    tables.upsert_table(spark, target, movie(spark, [(12345, "Test Movie")]), ["tmdb_id"], root, as_of=AS_OF)
+    tables.upsert_table(spark, target, movie(spark, [(12345, "Test Movie UPDATED")]), ["tmdb_id"], root, as_of=AS_OF)
     assert rows_of(spark.table(target), "tmdb_id", "title") == [(12345, "Test Movie UPDATED")]
     assert [r.col_name for r in tables.describe_table(spark, target).collect()] == TABLES["movies"].names
 
@@ -48,7 +48,7 @@ def test_three_rows_then_one_update_and_parameters(spark, database):
     name, root = database
     target = f"{name}.m"
     tables.write_table(movie(spark, [(1, "Movie A"), (2, "Movie B"), (3, "Movie C")]), target, root)
-    tables.upsert_table(spark, target, movie(spark, [(1, "Movie A Updated")]), ["tmdb_id"], root)
+    tables.upsert_table(spark, target, movie(spark, [(1, "Movie A Updated")]), ["tmdb_id"], root, as_of=AS_OF)
     assert rows_of(spark.table(target), "tmdb_id", "title") == [(1, "Movie A Updated"), (2, "Movie B"), (3, "Movie C")]
     found = tables.run_sql(spark, f"SELECT title FROM {target} WHERE tmdb_id = ?", [2]).collect()
     assert [r.title for r in found] == ["Movie B"]
@@ -127,7 +127,7 @@ def test_frame_round_trip(spark, format):
 def test_csv_keeps_quotes_and_line_breaks(spark):
     df = spark.createDataFrame([(1, 'say "hi", now\nagain'), (2, None)], "a int, t string")
     path = frames.write_frame(df, "text", scratch_path(spark, "frames"), "csv")
-    assert rows_of(frames.read_frame(spark, path, schema=df.schema), "a", "t") == rows_of(df, "a", "t")
+    assert rows_of(frames.read_frame(spark, path, schema=df.schema, multi_line=True), "a", "t") == rows_of(df, "a", "t")
 
 
 def test_invalid_payloads_are_rejected(spark):
