@@ -155,7 +155,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     k = range(len(columns))
     cells = df.selectExpr(*[f"nanvl(CAST(`{c}` AS DOUBLE), NULL) AS x{i}" for i, c in enumerate(columns)])
     means = cells.selectExpr(*[f"avg(x{i}) AS m{i}" for i in k]).first()
-    has = " + ".join(f"shiftleft(CAST(x{i} IS NOT NULL AS BIGINT), {i})" for i in k)
+    has = "concat(" + ", ".join(f"if(x{i} IS NULL, '0', '1')" for i in k) + ")"
     centred = cells.selectExpr(f"{has} AS has", *[
         f"coalesce(x{i} - CAST({means[i] or 0.0!r} AS DOUBLE), 0D) AS x{i}" for i in k])
     pairs = [(i, j) for i in k for j in k if i <= j]
@@ -165,7 +165,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     # From here on there is at most one row per set of present columns.
     entries = ", ".join(
         f"struct({i} AS i, {j} AS j, n, s{i} AS si, s{j} AS sj, p{i}_{i} AS sii, p{j}_{j} AS sjj, p{i}_{j} AS sij)" for i, j in pairs)
-    rows = groups.selectExpr("has", f"inline(array({entries}))").where("getbit(has, i) = 1 AND getbit(has, j) = 1")
+    rows = groups.selectExpr("has", f"inline(array({entries}))").where("substr(has, i + 1, 1) = '1' AND substr(has, j + 1, 1) = '1'")
     sums = rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
     corr = "try_divide(n * sij - si * sj, sqrt((n * sii - si * si) * (n * sjj - sj * sj))) AS corr"
     orders = "explode(array_distinct(array(struct(i AS a, j AS b), struct(j AS a, i AS b)))) AS at"

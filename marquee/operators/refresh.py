@@ -137,7 +137,8 @@ def last_updates(movies: DataFrame, as_of: dt.datetime, n: int = 10) -> DataFram
 def old_unfrozen(movies: DataFrame, as_of: dt.datetime, n: int = 10) -> DataFrame:
     """The n oldest-id movies past the freeze age that are not frozen."""
     return (
-        movies.where((days_since("release_date", as_of) > 365) & ~F.col("data_frozen")).orderBy("movie_id").limit(n)
+        # A bound on the column itself reaches the scan.
+        movies.where((F.col("release_date") < F.date_sub(today(as_of), 365)) & ~F.col("data_frozen")).orderBy("movie_id").limit(n)
         .select("movie_id", "title", "release_date", days_since("release_date", as_of).alias("age_days"),
                 "last_tmdb_update", "last_omdb_update", "data_frozen")
     )

@@ -179,9 +179,10 @@ def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         # Movies lie in date order, so date filters skip files; the others are spread by key.
-        cluster = {"movies": "release_date", "tmdb": "tmdb_id", "omdb": "imdb_id"}.get(name, "movie_id")
-        rows = _build(spark, sf_dir, name).repartitionByRange(spark.sparkContext.defaultParallelism, cluster)
-        _STORED[key] = materialize(rows.sortWithinPartitions(cluster), f"derived-{name}")
+        # The id splits dates, and rows without one, that are frequent.
+        cluster = {"movies": ["release_date", "movie_id"], "tmdb": ["tmdb_id"], "omdb": ["imdb_id"]}.get(name, ["movie_id"])
+        rows = _build(spark, sf_dir, name).repartitionByRange(spark.sparkContext.defaultParallelism, *cluster)
+        _STORED[key] = materialize(rows.sortWithinPartitions(*cluster), f"derived-{name}")
     return _STORED[key]
 
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+_MARKED: set[str] = set()
 
 
-def build_session(master: str | None = None, partitions: int | None = None, app: str = "marquee") -> SparkSession:
-    """Session with the settings the operators expect; cluster sizing stays with spark-submit."""
+def build_session(master: str | None = None, partitions: int | None = None, app: str = "marquee", scratch: str | None = None) -> SparkSession:
+    """Session with the settings the operators expect; cluster sizing stays with spark-submit.
+
+    ``scratch`` sets ``spark.checkpoint.dir``, which should name a folder that all executors share.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -21,31 +23,34 @@ def build_session(master: str | None = None, partitions: int | None = None, app:
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach.
+    """Folder that every executor can reach: ``spark.checkpoint.dir``, else a folder in the warehouse.
 
-    Taken from ``spark.checkpoint.dir``. Only a local-mode session without that setting gets a
-    temporary folder of its own.
+    It is this application's own and goes when the application ends.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="marquee-")
-    return _LOCAL_SCRATCH[app]
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    root = f"{base.rstrip('/')}/marquee-{spark.sparkContext.applicationId}"
+    if root.startswith("file:/") and not root.startswith("file://"):
+        root = f"file://{root.removeprefix('file:')}"
+    if root not in _MARKED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _MARKED.add(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/marquee/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

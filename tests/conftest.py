@@ -11,8 +11,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", 8, app="marquee-tests")
+def spark(tmp_path_factory):
+    session = build_session("local[8]", 8, app="marquee-tests", scratch=str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
