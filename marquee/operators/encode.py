@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.functions.text import stripped_labels
@@ -22,8 +21,7 @@ ORDINAL = ["first_billing_actor", "second_billing_actor", "third_billing_actor",
            "secondary_writer"]
 MULTI_LABEL = ["genre_names", "production_country_name", "spoken_languages"]
 UNSEEN = 999999
-MAX_COLUMNS = 1000
-MAX_VOCABULARY = 1 << 22
+SLOTS = 1024
 
 
 def label_items(c: str, delimiter: str = ",") -> Column:
@@ -32,42 +30,52 @@ def label_items(c: str, delimiter: str = ",") -> Column:
     return F.coalesce(items, F.array().cast("array<string>"))
 
 
-def _bounded(values: DataFrame, limit: int) -> list | None:
-    """Sorted values of a one-column frame, or None when there are more than ``limit``."""
-    rows = values.limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(r[0] for r in rows)
+def _attach(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """``df`` with the other columns of ``side`` (``__value``, …), matched on ``key``; rows without a key are spread."""
+    slot = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SLOTS)) + 1).otherwise(F.lit(0))
+    placed = df.withColumn("__slot", slot).withColumn("__key", F.coalesce(F.col(key), F.lit("").cast(df.schema[key].dataType)))
+    # Keyless rows stand in slots that the right side does not have.
+    return placed.join(side.withColumn("__rslot", F.lit(0)), F.expr("__key = __value AND __slot = __rslot"), "left").drop(
+        "__slot", "__key", "__value", "__rslot")
+
+
+def _dictionary(values: DataFrame) -> DataFrame:
+    """(__value, __code): positions in sorted order. It can grow with the data, so it stays a table."""
+    return with_dense_index(values, [F.col("__value")], "__code")
 
 
 class MultiLabelBinarizer(Estimator):
-    """One 0/1 column per label, named ``<prefix>_<label>``; unseen labels are ignored.
+    """The labels of a cell as one sorted array of codes, ``<prefix>_codes``; unseen labels are ignored.
 
-    Above ``max_columns`` labels the result is one sparse vector column ``<prefix>_labels`` instead.
+    Codes are positions in the sorted dictionary, which is learned as a table (``learned["codes"]``); the output has
+    this form whatever the number of labels. ``multilabel_columns`` gives 0/1 columns for a given label list.
     """
 
-    def __init__(self, column: str, delimiter: str = ",", prefix: str | None = None, max_columns: int = MAX_COLUMNS):
+    def __init__(self, column: str, delimiter: str = ",", prefix: str | None = None):
         super().__init__()
-        self.column, self.delimiter, self.prefix, self.max_columns = column, delimiter, prefix or column, max_columns
+        self.column, self.delimiter, self.prefix = column, delimiter, prefix or column
 
     def _fit(self, dataset: DataFrame) -> FittedStep:
         items = label_items(self.column, self.delimiter)
-        labels = _bounded(dataset.select(F.explode(items).alias("label")).distinct(), self.max_columns)
-        if labels is not None:
-            def apply(df: DataFrame) -> DataFrame:
-                flags = [F.array_contains("__items", v).cast("int").alias(f"{self.prefix}_{v}") for v in labels]
-                rest = [c for c in df.columns if c != self.column]
-                return df.withColumn("__items", items).select(*rest, *flags)
-
-            return FittedStep(apply, labels=labels)
-
-        listed = dataset.select(items.alias("__items"))
-        size = listed.select(F.explode("__items").alias("label")).distinct().count()
-        if size > MAX_VOCABULARY:
-            raise ValueError(f"{self.column} has {size} labels; encode it with OrdinalEncoder")
-        model = CountVectorizer(inputCol="__items", outputCol=f"{self.prefix}_labels", binary=True,
-                                minDF=1.0, vocabSize=size).fit(listed)
-        return FittedStep(
-            lambda df: model.transform(df.withColumn("__items", items)).drop("__items", self.column),
-            labels=model.vocabulary)
+        codes = _dictionary(dataset.select(F.explode(items).alias("__value")).distinct())
+        out = f"{self.prefix}_codes"
+
+        def apply(df: DataFrame) -> DataFrame:
+            # Every distinct cell is translated once.
+            cells = df.select(F.col(self.column).alias("__cell")).where("__cell is not null").distinct()
+            pieces = cells.select("__cell", F.explode(F.array_distinct(label_items("__cell", self.delimiter))).alias("__value"))
+            side = pieces.join(codes, "__value").groupBy(F.col("__cell")).agg(F.sort_array(F.collect_list("__code")).alias("__codes"))
+            coded = _attach(df, side.withColumnRenamed("__cell", "__value"), self.column)
+            return coded.withColumn(out, F.coalesce("__codes", F.array().cast("array<bigint>"))).drop("__codes", self.column)
+
+        return FittedStep(apply, codes=codes)
+
+
+def multilabel_columns(df: DataFrame, column: str, labels: Sequence[str], delimiter: str = ",", prefix: str | None = None) -> DataFrame:
+    """One 0/1 column ``<prefix>_<label>`` for each of the given labels, in place of ``column``."""
+    flags = [F.array_contains("__items", v).cast("int").alias(f"{prefix or column}_{v}") for v in labels]
+    rest = [c for c in df.columns if c != column]
+    return df.withColumn("__items", label_items(column, delimiter)).select(*rest, *flags)
 
 
 class StandardScaler(Estimator):
@@ -91,29 +99,36 @@ class StandardScaler(Estimator):
 
 
 class OneHotEncoder(Estimator):
-    """One 0/1 column per category in sorted order, a missing cell being its own category (last).
+    """The place of a cell's one, ``<column>_code``: positions in sorted order, a missing cell as the last category.
 
-    Unseen categories give zeros.
+    Unseen categories, and missing cells where none was seen, have no one: NULL. ``one_hot_columns`` gives 0/1 columns
+    for a given category list.
     """
 
-    def __init__(self, column: str = "age_rating", max_columns: int = MAX_COLUMNS):
+    def __init__(self, column: str = "age_rating"):
         super().__init__()
-        self.column, self.max_columns = column, max_columns
+        self.column = column
 
     def _fit(self, dataset: DataFrame) -> FittedStep:
         c = F.col(self.column)
-        values = _bounded(dataset.where(c.isNotNull()).select(c).distinct(), self.max_columns)
-        if values is None:
-            raise ValueError(f"{self.column} has more than {self.max_columns} categories")
-        has_missing = not dataset.where(c.isNull()).isEmpty()
+        codes = _dictionary(dataset.where(c.isNotNull()).select(c.alias("__value")).distinct())
+        seen = dataset.agg(F.count_if(c.isNull()).alias("missing"), F.count_distinct(c).alias("known")).first()
+        last = F.lit(seen["known"] if seen["missing"] else None).cast("bigint")
 
         def apply(df: DataFrame) -> DataFrame:
-            flags = [F.coalesce(c == v, F.lit(False)).cast("int").alias(f"{self.column}_{v}") for v in values]
-            if has_missing:
-                flags.append(c.isNull().cast("int").alias(f"{self.column}_None"))
-            return df.select(*[n for n in df.columns if n != self.column], *flags)
+            code = F.when(c.isNull(), last).otherwise(F.col("__code"))
+            return _attach(df, codes, self.column).withColumn(f"{self.column}_code", code).drop("__code", self.column)
+
+        return FittedStep(apply, codes=codes, missing=bool(seen["missing"]))
+
 
-        return FittedStep(apply, categories=values, missing=has_missing)
+def one_hot_columns(df: DataFrame, column: str, categories: Sequence[str], missing: bool = True) -> DataFrame:
+    """One 0/1 column for each of the given categories, and ``<column>_None`` for missing cells, in place of ``column``."""
+    c = F.col(column)
+    flags = [F.coalesce(c == v, F.lit(False)).cast("int").alias(f"{column}_{v}") for v in categories]
+    if missing:
+        flags.append(c.isNull().cast("int").alias(f"{column}_None"))
+    return df.select(*[n for n in df.columns if n != column], *flags)
 
 
 class OrdinalEncoder(Estimator):
@@ -128,18 +143,13 @@ class OrdinalEncoder(Estimator):
         self.columns, self.unseen = list(columns), unseen
 
     def _fit(self, dataset: DataFrame) -> FittedStep:
-        tables = {}
-        for c in self.columns:
-            known = dataset.where(F.col(c).isNotNull()).select(F.col(c).alias("__value")).distinct()
-            tables[c] = with_dense_index(known, [F.col("__value")], "__code")
+        tables = {c: _dictionary(dataset.where(F.col(c).isNotNull()).select(F.col(c).alias("__value")).distinct()) for c in self.columns}
 
         def apply(df: DataFrame) -> DataFrame:
             out = df
             for c, codes in tables.items():
-                side = codes.select(F.col("__value").alias(f"__v_{c}"), F.col("__code").alias(f"__c_{c}"))
-                out = out.join(side, F.col(c) == F.col(f"__v_{c}"), "left").withColumn(
-                    c, F.when(F.col(c).isNotNull(), F.coalesce(f"__c_{c}", F.lit(self.unseen))).cast("double")
-                ).drop(f"__v_{c}", f"__c_{c}")
+                code = F.when(F.col(c).isNotNull(), F.coalesce("__code", F.lit(self.unseen))).cast("double")
+                out = _attach(out, codes, c).withColumn(c, code).drop("__code")
             return out
 
         return FittedStep(apply, tables=tables)

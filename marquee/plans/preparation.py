@@ -150,13 +150,35 @@ def column_steps(spark, sf):
 _GENRES = ["Action", "Comedy", "Documentary", "Drama", "Science_Fiction"]
 
 
-@query("multilabel_binarize", with_views(
+@query("multilabel_columns", with_views(
     "SELECT movie_id, " + ", ".join(
         f"CAST(coalesce(list_contains(items, '{g}'), FALSE) AS INT) AS genre_names_{g}" for g in _GENRES)
     + " FROM (SELECT movie_id, string_split(replace(regexp_replace(genre_names, '\\s*,\\s*', ',', 'g'), ' ', '_'), ',') AS items FROM model_v)"))
-def multilabel_binarize(spark, sf):
+def multilabel_columns(spark, sf):
     rows = modeling(spark, sf).select("movie_id", "genre_names")
-    return encode.MultiLabelBinarizer("genre_names").fit(rows).transform(rows)
+    return encode.multilabel_columns(rows, "genre_names", _GENRES)
+
+
+def _label_views(c: str) -> dict[str, str]:
+    """Dictionary, and codes of every distinct cell, of one label column."""
+    items = f"string_split(replace(regexp_replace({c}, '\\s*,\\s*', ',', 'g'), ' ', '_'), ',')"
+    return {
+        f"{c}_items_v": f"SELECT DISTINCT {c} AS cell, unnest({items}) AS label FROM model_v WHERE {c} IS NOT NULL",
+        f"{c}_code_v": f"SELECT label, row_number() OVER (ORDER BY label) - 1 AS code FROM (SELECT DISTINCT label FROM {c}_items_v)",
+        f"{c}_cell_v": f"SELECT cell, string_agg(CAST(code AS VARCHAR), ',' ORDER BY code) AS codes FROM {c}_items_v JOIN {c}_code_v USING (label) GROUP BY cell",
+    }
+
+
+@query("multilabel_binarize", with_views(
+    "SELECT movie_id, " + ", ".join(f"coalesce({c}_cell_v.codes, '') AS {c}_codes" for c in encode.MULTI_LABEL) + " FROM model_v "
+    + " ".join(f"LEFT JOIN {c}_cell_v ON {c}_cell_v.cell = model_v.{c}" for c in encode.MULTI_LABEL),
+    **{k: v for c in encode.MULTI_LABEL for k, v in _label_views(c).items()}))
+def multilabel_binarize(spark, sf):
+    """All three label columns as arrays of codes, shown as text."""
+    rows = modeling(spark, sf).select("movie_id", *encode.MULTI_LABEL)
+    for c in encode.MULTI_LABEL:
+        rows = encode.MultiLabelBinarizer(c).fit(rows).transform(rows)
+    return rows.select("movie_id", *[F.array_join(F.col(f"{c}_codes").cast("array<string>"), ",").alias(f"{c}_codes") for c in encode.MULTI_LABEL])
 
 
 _SCALED = ["metascore", "tmdb_vote_count", "tmdb_vote_average", "tmdb_popularity", "imdb_rating", "imdb_votes"]
@@ -172,9 +194,18 @@ def standard_scale(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in _SCALED})
 
 
-@query("one_hot", with_views(
+@query("one_hot_columns", with_views(
     "SELECT movie_id, " + ", ".join(f"CAST(coalesce(age_rating = '{v}', FALSE) AS INT) AS \"age_rating_{v}\"" for v in ("G", "PG", "PG-13", "R"))
     + ", CAST(age_rating IS NULL AS INT) AS \"age_rating_None\" FROM model_v"))
+def one_hot_columns(spark, sf):
+    rows = modeling(spark, sf).select("movie_id", "age_rating")
+    return encode.one_hot_columns(rows, "age_rating", ["G", "PG", "PG-13", "R"])
+
+
+@query("one_hot", with_views(
+    "SELECT movie_id, CASE WHEN m.age_rating IS NULL THEN (SELECT count(*) FROM rating_v) ELSE r.code END AS age_rating_code "
+    "FROM model_v m LEFT JOIN rating_v r ON m.age_rating = r.age_rating",
+    rating_v="SELECT age_rating, row_number() OVER (ORDER BY age_rating) - 1 AS code FROM (SELECT DISTINCT age_rating FROM model_v WHERE age_rating IS NOT NULL)"))
 def one_hot(spark, sf):
     rows = modeling(spark, sf).select("movie_id", "age_rating")
     return encode.OneHotEncoder("age_rating").fit(rows).transform(rows)

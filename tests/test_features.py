@@ -168,16 +168,23 @@ def test_encoders_on_unseen_and_missing(spark):
     new = spark.createDataFrame([(0, "R", "amy", 2.0, "C,X"), (1, "X", "bob", None, None), (2, None, None, 5.0, " A B ")],
                                 "i int, rating string, name string, v double, labels string")
     hot = encode.OneHotEncoder("rating").fit(fit).transform(new).orderBy("i").collect()
-    assert [(r.rating_PG, r.rating_R, r.rating_None) for r in hot] == [(0, 1, 0), (0, 0, 0), (0, 0, 1)]
+    assert [r.rating_code for r in hot] == [1, None, 2]
+    flags = encode.one_hot_columns(new, "rating", ["PG", "R"]).orderBy("i").collect()
+    assert [(r.rating_PG, r.rating_R, r.rating_None) for r in flags] == [(0, 1, 0), (0, 0, 0), (0, 0, 1)]
     codes = encode.OrdinalEncoder(["name"]).fit(fit).transform(new).orderBy("i").collect()
     assert [r.name for r in codes] == [0.0, 999999.0, None]
     scaled = encode.StandardScaler(["v"]).fit(fit).transform(new).orderBy("i").collect()
     assert [r.v for r in scaled] == [0.0, None, 3.0]
-    flat = encode.MultiLabelBinarizer("labels").fit(fit).transform(new).orderBy("i").collect()
+    step = encode.MultiLabelBinarizer("labels").fit(fit)
+    assert [r.labels_codes for r in step.transform(new).orderBy("i").collect()] == [[1], [], [0]]
+    flat = encode.multilabel_columns(new, "labels", ["A_B", "C"]).orderBy("i").collect()
     assert [(r.labels_A_B, r.labels_C) for r in flat] == [(0, 1), (0, 0), (1, 0)]
-    wide = encode.MultiLabelBinarizer("labels", max_columns=1).fit(fit)
-    vectors = wide.transform(new).orderBy("i").collect()
-    assert [int(r.labels_labels.toArray().sum()) for r in vectors] == [1, 0, 1]
+
+
+def test_label_codes_keep_their_form_with_many_labels(spark):
+    many = spark.range(3000).select("id", F.concat(F.lit("l"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("labels"))
+    out = encode.MultiLabelBinarizer("labels").fit(many).transform(many)
+    assert out.columns == ["id", "labels_codes"] and out.where("labels_codes[0] <> id").isEmpty()
 
 
 def test_constant_column_scales_to_zero(spark):
