@@ -199,6 +199,17 @@ def assembled(spark):
     return train.assemble(rows, ["a", "b"]).cache()
 
 
+def test_ridge_matches_the_normal_equations(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(120, 2)) * [1, 5] + [3, -2]
+    y = x @ [2, -1] + 7 + rng.normal(size=120) * 4
+    rows = spark.createDataFrame([(float(a), float(b), float(v)) for (a, b), v in zip(x, y)], "a double, b double, revenue double")
+    model = train.Ridge(50.0).fit(train.assemble(rows, ["a", "b"]))
+    centred = x - x.mean(0)
+    want = np.linalg.solve(centred.T @ centred + 50 * np.eye(2), centred.T @ (y - y.mean()))
+    assert np.allclose(model.coefficients.toArray(), want)
+
+
 def test_metrics_match_their_definition(spark):
     data = [(1.0, 1.5), (2.0, 1.0), (4.0, 4.5), (7.0, 6.0)]
     got = train.regression_metrics(spark.createDataFrame(data, "revenue double, prediction double")).first()
@@ -214,7 +225,7 @@ def test_linear_model_cross_validates(assembled):
 
 def test_grid_search_prefers_less_shrinkage(assembled):
     fit_part, test_part = train.train_test_split(assembled, ["id"], 0.2)
-    model, report = train.grid_search(fit_part, test_part, train.regressors()["ridge"], {"regParam": [0.001, 5000.0]}, ["id"])
+    model, report = train.grid_search(fit_part, test_part, train.regressors()["linear"], {"regParam": [0.001, 5000.0]}, ["id"])
     assert report["best_params"] == {"regParam": 0.001} and report["points"] == 2
     assert np.isclose(report["r2"], train.regression_metrics(model.transform(test_part)).first()["r2"])
 
