@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marquee.functions.text import split_labels, strip
 from marquee.operators.joins import company_rows
 from marquee.operators.ranking import exact_quantiles, melt_numeric, value_profile
+from marquee.session import materialize
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def top_labels(df: DataFrame, top: Mapping[str, int], others: str = "Others") ->
     The rank filter is pushed below the shuffle as a per-partition limit, so a column with very many
     labels does not meet in one task.
     """
-    counts = label_counts(df, list(top))
+    counts = materialize(label_counts(df, list(top)), "label-counts")  # read three times below
     wanted = reduce(lambda case, kv: case.when(F.col("feature") == kv[0], kv[1]), top.items(), F)
     rank = F.row_number().over(Window.partitionBy("feature").orderBy(F.desc("n"), "label"))
     best = (
@@ -82,7 +83,8 @@ def value_counts(df: DataFrame, column: str, share: bool = False) -> DataFrame:
     known = df.where(F.col(column).isNotNull())
     counts = known.groupBy(column).agg(F.count("*").alias("n"))
     if share:
-        counts = counts.withColumn("share", F.col("n") / known.agg(F.count("*").alias("total")).scalar())
+        counts = materialize(counts, "value-counts")
+        counts = counts.withColumn("share", F.col("n") / counts.agg(F.sum("n").alias("total")).scalar())
     return counts.orderBy(F.desc("n"), column)
 
 

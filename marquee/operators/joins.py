@@ -77,23 +77,42 @@ def latest_numbers(numbers: DataFrame) -> DataFrame:
 
 
 def full_dataset(movies: DataFrame, tmdb: DataFrame, omdb: DataFrame, numbers: DataFrame,
-                 include_nulls: bool = True, one_row_per_movie: bool = False) -> DataFrame:
-    """Movies with all source columns. Repeated numbers rows fan out unless ``one_row_per_movie``."""
+                 include_nulls: bool = True, one_row_per_movie: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
+    """Movies with all source columns. Repeated numbers rows fan out unless ``one_row_per_movie``.
+
+    With ``columns`` only the sources that give one of them are joined, except that repeated numbers rows fan out all
+    the same. The other sources are keyed and add no rows.
+    """
+    def asked(listed: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+        return [(c, out) for c, out in listed if columns is None or out in columns]
+
     if one_row_per_movie:
         numbers = latest_numbers(numbers)
-    star = lookup(movies, tmdb, "tmdb_id", STAR_TMDB)
+    star = movies
+    filters = [] if include_nulls else [(c, out) for c, out in STAR_TMDB if out in ("tmdb_budget", "tmdb_revenue")]
+    if wanted := [pair for pair in STAR_TMDB if pair in asked(STAR_TMDB) or pair in filters]:
+        star = lookup(star, tmdb, "tmdb_id", wanted)
     if not include_nulls:
         star = star.where("tmdb_budget is not null and tmdb_revenue is not null")
-    star = lookup(star, omdb, "imdb_id", STAR_OMDB, spread_by="movie_id")
-    return lookup(star, numbers, "movie_id", STAR_NUMBERS)
+    if wanted := asked(STAR_OMDB):
+        star = lookup(star, omdb, "imdb_id", wanted, spread_by="movie_id")
+    if (wanted := asked(STAR_NUMBERS)) or not one_row_per_movie:
+        star = lookup(star, numbers, "movie_id", wanted)
+    return star if columns is None else star.select(*columns)
 
 
 def modeling_view(star: DataFrame) -> DataFrame:
     """Star columns under the names the modelling steps use."""
-    return (
-        star.withColumn("runtime_in_min", F.coalesce("tmdb_runtime", "omdb_runtime"))
-        .drop("tmdb_runtime", "omdb_runtime").withColumnsRenamed(MODELING_NAMES)
-    )
+    if "tmdb_runtime" in star.columns:
+        star = star.withColumn("runtime_in_min", F.coalesce("tmdb_runtime", "omdb_runtime")).drop("tmdb_runtime", "omdb_runtime")
+    return star.withColumnsRenamed(MODELING_NAMES)
+
+
+def star_columns(modeling: Sequence[str]) -> list[str]:
+    """The star columns that the given columns of the modelling view are made of."""
+    original = {new: old for old, new in MODELING_NAMES.items()}
+    out = [original.get(c, c) for c in modeling if c != "runtime_in_min"]
+    return out + (["tmdb_runtime", "omdb_runtime"] if "runtime_in_min" in modeling else [])
 
 
 def resolve_imdb_id(movies: DataFrame, tmdb: DataFrame) -> DataFrame:

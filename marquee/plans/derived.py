@@ -8,11 +8,12 @@ list serves Spark (``selectExpr``) and the DuckDB oracle (a CTE).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators.features import missing_flags
-from marquee.operators.joins import STAR_NUMBERS, STAR_OMDB, STAR_TMDB, full_dataset, modeling_view
+from marquee.operators.joins import STAR_NUMBERS, STAR_OMDB, STAR_TMDB, full_dataset, modeling_view, star_columns
 from marquee.session import materialize
 
 AS_OF = dt.datetime(2001, 8, 2, 12, 0, 0)
@@ -206,13 +207,16 @@ def refresh_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "refresh_state")
 
 
-def star(spark: SparkSession, sf_dir: str, one_row_per_movie: bool = True) -> DataFrame:
+def star(spark: SparkSession, sf_dir: str, one_row_per_movie: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     parts = [f(spark, sf_dir) for f in (movies, tmdb, omdb, numbers)]
-    return full_dataset(*parts, one_row_per_movie=one_row_per_movie)
+    return full_dataset(*parts, one_row_per_movie=one_row_per_movie, columns=columns)
 
 
-def modeling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return modeling_view(star(spark, sf_dir))
+def modeling(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The modelling view, or the given columns of it with only the sources they need."""
+    if columns is None:
+        return modeling_view(star(spark, sf_dir))
+    return modeling_view(star(spark, sf_dir, columns=star_columns(columns))).select(*columns)
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,19 +45,19 @@ def null_counts(spark, sf):
     "count(*) FILTER (revenue IS NULL AND budget IS NOT NULL) AS only_revenue_missing, "
     "count(*) FILTER (budget IS NULL OR revenue IS NULL) AS any_missing FROM model_v"))
 def missing_overlap(spark, sf):
-    return explore.missing_overlap(modeling(spark, sf), "budget", "revenue")
+    return explore.missing_overlap(modeling(spark, sf, ["budget", "revenue"]), "budget", "revenue")
 
 
 @query("missing_rate_by_year", with_views(
     "SELECT CAST(year(release_date) AS INT) AS release_year, round(avg(CASE WHEN budget IS NULL AND revenue IS NULL THEN 1 ELSE 0 END), 6) "
     "AS missing_rate FROM model_v WHERE release_date IS NOT NULL GROUP BY 1"))
 def missing_rate_by_year(spark, sf):
-    return _rounded(explore.missing_rate_by_year(modeling(spark, sf), "budget", "revenue"), "missing_rate")
+    return _rounded(explore.missing_rate_by_year(modeling(spark, sf, ["release_date", "budget", "revenue"]), "budget", "revenue"), "missing_rate")
 
 
 @query("label_cardinality", with_views("SELECT feature, count(DISTINCT label) AS labels FROM labels_v GROUP BY feature", **_SPLIT))
 def label_cardinality(spark, sf):
-    return explore.label_cardinality(modeling(spark, sf), LABELS)
+    return explore.label_cardinality(modeling(spark, sf, LABELS), LABELS)
 
 
 _RANKED = {
@@ -73,27 +73,27 @@ _WANTED = "CASE feature " + " ".join(f"WHEN '{c}' THEN {n}" for c, n in TOP.item
     f"SELECT feature, 'Others', CAST(coalesce(sum(n) FILTER (pos > {_WANTED}), 0) AS BIGINT), NULL FROM ranked_v "
     f"WHERE {_WANTED} IS NOT NULL GROUP BY feature", **_RANKED))
 def top_labels(spark, sf):
-    return explore.top_labels(modeling(spark, sf), TOP)
+    return explore.top_labels(modeling(spark, sf, list(TOP)), TOP)
 
 
 @query("value_counts", with_views(
     "SELECT age_rating, count(*) AS n, round(count(*) / (SELECT count(age_rating) FROM model_v), 6) AS share FROM model_v "
     "WHERE age_rating IS NOT NULL GROUP BY age_rating"))
 def value_counts(spark, sf):
-    return _rounded(explore.value_counts(modeling(spark, sf), "age_rating", share=True), "share")
+    return _rounded(explore.value_counts(modeling(spark, sf, ["age_rating"]), "age_rating", share=True), "share")
 
 
 @query("label_counts", with_views(
     "SELECT feature, label, count(*) AS n FROM labels_v WHERE feature = 'genre_names' GROUP BY 1, 2", **_SPLIT))
 def label_counts(spark, sf):
-    return explore.label_counts(modeling(spark, sf), ["genre_names"], trimmed=False)
+    return explore.label_counts(modeling(spark, sf, ["genre_names"]), ["genre_names"], trimmed=False)
 
 
 @query("counts_by_period", with_views(
     "SELECT 'year' AS period, CAST(year(release_date) AS INT) AS at, count(*) AS n FROM movies_v WHERE release_date IS NOT NULL GROUP BY 2 "
     "UNION ALL SELECT 'month', CAST(month(release_date) AS INT), count(*) FROM movies_v WHERE release_date IS NOT NULL GROUP BY 2"))
 def counts_by_period(spark, sf):
-    rows = modeling(spark, sf)
+    rows = modeling(spark, sf, ["release_date"])
     parts = [
         explore.counts_by_period(rows, p).select(F.lit(p).alias("period"), F.col(f"release_{p}").alias("at"), "n")
         for p in ("year", "month")
@@ -106,7 +106,7 @@ def counts_by_period(spark, sf):
     "round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS median, "
     "round(quantile_cont(value, 0.75), 6) AS q75, max(value) AS max FROM values_v GROUP BY feature", **_VALUES))
 def describe_numeric(spark, sf):
-    rows = _rounded(explore.describe_numeric(modeling(spark, sf), NUMERIC), "q25", "median", "q75")
+    rows = _rounded(explore.describe_numeric(modeling(spark, sf, NUMERIC), NUMERIC), "q25", "median", "q75")
     return _rounded(rows, "mean", "std", digits=4)
 
 
@@ -124,7 +124,7 @@ _BINS = {
     "SELECT feature, bin, round(lo + (hi - lo) / 30 * bin, 4) AS left_edge, coalesce(n, 0) AS n FROM frame_v "
     "LEFT JOIN binned_v USING (feature, bin)", **_BINS))
 def histogram(spark, sf):
-    return _rounded(explore.histogram(modeling(spark, sf), NUMERIC), "left_edge", digits=4)
+    return _rounded(explore.histogram(modeling(spark, sf, NUMERIC), NUMERIC), "left_edge", digits=4)
 
 
 _BOX = {
@@ -141,26 +141,26 @@ _BOX = {
     "count(*) FILTER (value NOT BETWEEN lo AND hi) AS outliers FROM values_v JOIN fences_v USING (feature) GROUP BY 1, q1, median, q3",
     **_BOX))
 def box_stats(spark, sf):
-    return _rounded(explore.box_stats(modeling(spark, sf), NUMERIC), "q1", "median", "q3")
+    return _rounded(explore.box_stats(modeling(spark, sf, NUMERIC), NUMERIC), "q1", "median", "q3")
 
 
 @query("outliers", with_views(
     "SELECT feature, value FROM values_v JOIN fences_v USING (feature) WHERE value NOT BETWEEN lo AND hi", **_BOX))
 def outliers(spark, sf):
-    return explore.outliers(modeling(spark, sf), NUMERIC)
+    return explore.outliers(modeling(spark, sf, NUMERIC), NUMERIC)
 
 
 @query("corr_matrix", with_views(" UNION ALL ".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM model_v"
     for a in NUMERIC for b in NUMERIC)))
 def corr_matrix(spark, sf):
-    return _rounded(explore.corr_matrix(modeling(spark, sf), NUMERIC), "corr")
+    return _rounded(explore.corr_matrix(modeling(spark, sf, NUMERIC), NUMERIC), "corr")
 
 
 @query("scatter_points", with_views(
     "SELECT budget AS x, revenue AS y FROM model_v WHERE budget IS NOT NULL AND revenue IS NOT NULL"))
 def scatter_points(spark, sf):
-    return explore.scatter_points(modeling(spark, sf), "budget", "revenue")
+    return explore.scatter_points(modeling(spark, sf, ["budget", "revenue"]), "budget", "revenue")
 
 
 @query("scatter_bins", with_views(
@@ -169,7 +169,7 @@ def scatter_points(spark, sf):
     points_v="SELECT CAST(budget AS DOUBLE) AS x, CAST(revenue AS DOUBLE) AS y FROM model_v WHERE budget IS NOT NULL AND revenue IS NOT NULL",
     box_v="SELECT min(x) AS lox, max(x) AS hix, min(y) AS loy, max(y) AS hiy FROM points_v"))
 def scatter_bins(spark, sf):
-    return explore.scatter_bins(modeling(spark, sf), "budget", "revenue")
+    return explore.scatter_bins(modeling(spark, sf, ["budget", "revenue"]), "budget", "revenue")
 
 
 @query("mean_by_year", with_views(

@@ -50,7 +50,7 @@ def awards(spark, sf):
     "CAST(coalesce(month(release_date) IN (6, 7, 11, 12), FALSE) AS INT) AS is_holiday_season, "
     "CAST(2025 - year(release_date) AS INT) AS movie_age FROM model_v"))
 def date_features(spark, sf):
-    return features.date_features(modeling(spark, sf).select("movie_id", "release_date"))
+    return features.date_features(modeling(spark, sf, ["movie_id", "release_date"]))
 
 
 @query("roi", with_views(
@@ -81,7 +81,7 @@ _GROUPED = {
     "SELECT movie_id, string_agg(label, ',' ORDER BY pos) AS production_country_name FROM first_v GROUP BY movie_id UNION ALL "
     "SELECT movie_id, NULL FROM model_v WHERE production_country_name IS NULL", **_GROUPED))
 def group_rare_labels(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", "production_country_name")
+    rows = modeling(spark, sf, ["movie_id", "production_country_name"])
     return features.RareLabelGrouper({"production_country_name": 3}).fit(rows).transform(rows)
 
 
@@ -95,7 +95,7 @@ def drop_columns(spark, sf):
     "SELECT movie_id, " + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in features.UNKNOWN_COLUMNS) + ", "
     + ", ".join(f"coalesce({c}, 0) AS {c}" for c in features.ZERO_COLUMNS) + " FROM model_v"))
 def impute_constant(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", *features.UNKNOWN_COLUMNS, *features.ZERO_COLUMNS)
+    rows = modeling(spark, sf, ["movie_id", *features.UNKNOWN_COLUMNS, *features.ZERO_COLUMNS])
     return features.impute_constant(rows)
 
 
@@ -103,14 +103,14 @@ def impute_constant(spark, sf):
     "SELECT movie_id, coalesce(CAST(runtime_in_min AS DOUBLE), (SELECT quantile_cont(CAST(runtime_in_min AS DOUBLE), 0.5) FROM model_v)) "
     "AS runtime_in_min FROM model_v"))
 def impute_median(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", "runtime_in_min")
+    rows = modeling(spark, sf, ["movie_id", "runtime_in_min"])
     return features.MedianImputer(["runtime_in_min"]).fit(rows).transform(rows)
 
 
 # No SQL: an iterative fit. Tests hold it against planted linear data.
 @query("impute_chained")
 def impute_chained(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", *IMPUTED)
+    rows = modeling(spark, sf, ["movie_id", *IMPUTED])
     return ChainedImputer(IMPUTED).fit(rows).transform(rows)
 
 
@@ -118,7 +118,7 @@ def impute_chained(spark, sf):
     "SELECT 'number' AS kind, 'movie_id' AS name, count(movie_id) AS present FROM model_v UNION ALL SELECT 'number', 'imdb_rating', count(imdb_rating) FROM model_v "
     "UNION ALL SELECT 'text', 'title', count(title) FROM model_v UNION ALL SELECT 'text', 'director', count(director) FROM model_v"))
 def column_select(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", "title", "release_date", "imdb_rating", "director", "data_frozen")
+    rows = modeling(spark, sf, ["movie_id", "title", "release_date", "imdb_rating", "director", "data_frozen"])
     kinds = [(k, n) for k in ("number", "text") for n in features.column_select(rows, k)]
     counted = rows.agg(*[F.count(n).alias(n) for _, n in kinds])
     return counted.select(F.inline(F.array(*[
@@ -155,7 +155,7 @@ _GENRES = ["Action", "Comedy", "Documentary", "Drama", "Science_Fiction"]
         f"CAST(coalesce(list_contains(items, '{g}'), FALSE) AS INT) AS genre_names_{g}" for g in _GENRES)
     + " FROM (SELECT movie_id, string_split(replace(regexp_replace(genre_names, '\\s*,\\s*', ',', 'g'), ' ', '_'), ',') AS items FROM model_v)"))
 def multilabel_columns(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", "genre_names")
+    rows = modeling(spark, sf, ["movie_id", "genre_names"])
     return encode.multilabel_columns(rows, "genre_names", _GENRES)
 
 
@@ -175,7 +175,7 @@ def _label_views(c: str) -> dict[str, str]:
     **{k: v for c in encode.MULTI_LABEL for k, v in _label_views(c).items()}))
 def multilabel_binarize(spark, sf):
     """All three label columns as arrays of codes, shown as text."""
-    rows = modeling(spark, sf).select("movie_id", *encode.MULTI_LABEL)
+    rows = modeling(spark, sf, ["movie_id", *encode.MULTI_LABEL])
     for c in encode.MULTI_LABEL:
         rows = encode.MultiLabelBinarizer(c).fit(rows).transform(rows)
     return rows.select("movie_id", *[F.array_join(F.col(f"{c}_codes").cast("array<string>"), ",").alias(f"{c}_codes") for c in encode.MULTI_LABEL])
@@ -189,7 +189,7 @@ _SCALED = ["metascore", "tmdb_vote_count", "tmdb_vote_average", "tmdb_popularity
         f"round((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM model_v)) / (SELECT stddev_pop({c}) FROM model_v), 6) AS {c}" for c in _SCALED)
     + " FROM model_v"))
 def standard_scale(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", *_SCALED)
+    rows = modeling(spark, sf, ["movie_id", *_SCALED])
     out = encode.StandardScaler(_SCALED).fit(rows).transform(rows)
     return out.withColumns({c: F.round(c, 6) for c in _SCALED})
 
@@ -198,7 +198,7 @@ def standard_scale(spark, sf):
     "SELECT movie_id, " + ", ".join(f"CAST(coalesce(age_rating = '{v}', FALSE) AS INT) AS \"age_rating_{v}\"" for v in ("G", "PG", "PG-13", "R"))
     + ", CAST(age_rating IS NULL AS INT) AS \"age_rating_None\" FROM model_v"))
 def one_hot_columns(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", "age_rating")
+    rows = modeling(spark, sf, ["movie_id", "age_rating"])
     return encode.one_hot_columns(rows, "age_rating", ["G", "PG", "PG-13", "R"])
 
 
@@ -207,7 +207,7 @@ def one_hot_columns(spark, sf):
     "FROM model_v m LEFT JOIN rating_v r ON m.age_rating = r.age_rating",
     rating_v="SELECT age_rating, row_number() OVER (ORDER BY age_rating) - 1 AS code FROM (SELECT DISTINCT age_rating FROM model_v WHERE age_rating IS NOT NULL)"))
 def one_hot(spark, sf):
-    rows = modeling(spark, sf).select("movie_id", "age_rating")
+    rows = modeling(spark, sf, ["movie_id", "age_rating"])
     return encode.OneHotEncoder("age_rating").fit(rows).transform(rows)
 
 
@@ -224,6 +224,6 @@ _ORDINAL = {
     "LEFT JOIN director_v d ON m.director = d.director LEFT JOIN writer_v w ON m.writer = w.writer", **_ORDINAL))
 def ordinal_encode(spark, sf):
     """Fitted on the releases before 1999, applied to all."""
-    rows = modeling(spark, sf).select("movie_id", "release_date", "director", "writer")
+    rows = modeling(spark, sf, ["movie_id", "release_date", "director", "writer"])
     train = rows.where("release_date < DATE '1999-01-01'")
     return encode.OrdinalEncoder(["director", "writer"]).fit(train).transform(rows).drop("release_date")
