@@ -248,7 +248,9 @@ def candidate_urls(spark, sf):
 # Two tables in front of each page; the second holds the marker.
 _PAGE = ("<table><tr><td>Other</td><td>1</td></tr></table><table class=\"m\"><tr><th>Head</th></tr>"
          "<tr><td><b>Production Budget</b></td><td> $%s </td></tr><tr><td>one</td></tr>"
-         "<tr><td>Opening&nbsp;Weekend</td><td>$1&amp;2</td></tr></table>%s")
+         "<tr><td>Opening&nbsp;Weekend</td><td>$1&amp;2</td></tr>"
+         "<tr><td>Inner <table><tr><td>Caf&eacute;</td><td>it&#8217;s <i>so</i></td></tr></table></td></tr>"
+         "<tr><td>After</td><td>it</td></tr></table>%s")
 
 
 def _financial_pages(spark, sf):
@@ -258,7 +260,9 @@ def _financial_pages(spark, sf):
 
 @query("extract_label_values",
        "SELECT page_id, 'Production Budget' AS label, '$' || CAST(page_id AS VARCHAR) AS value FROM pages WHERE page_id % 10 <> 0 "
-       "UNION ALL SELECT page_id, 'Opening' || chr(160) || 'Weekend', '$1&2' FROM pages WHERE page_id % 10 <> 0")
+       "UNION ALL SELECT page_id, 'Opening' || chr(160) || 'Weekend', '$1&2' FROM pages WHERE page_id % 10 <> 0 "
+       "UNION ALL SELECT page_id, 'Café', 'it’sso' FROM pages WHERE page_id % 10 <> 0 "
+       "UNION ALL SELECT page_id, 'After', 'it' FROM pages WHERE page_id % 10 <> 0")
 def extract_label_values(spark, sf):
     return _financial_pages(spark, sf).select("page_id", F.explode(pages.label_values("html")).alias("label", "value"))
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions.text import col, slugify, strip
+from marquee.functions.text import col, slugify
 
 # Address forms of a title page, and the text that marks the wanted table.
 URL_WITH_YEAR = "https://www.the-numbers.com/movie/%s-(%s)"
 URL_PLAIN = "https://www.the-numbers.com/movie/%s#tab=summary"
 MARKER = "Production Budget"
-TAG = r"(?s)<!--.*?-->|<[^>]*>"
-ENTITIES = {"&nbsp;": "\xa0", "&#160;": "\xa0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
 def candidate_urls(movies: DataFrame, title: str = "title", year: Column | None = None) -> DataFrame:
@@ -24,56 +25,96 @@ def candidate_urls(movies: DataFrame, title: str = "title", year: Column | None
     return movies.select("*", F.posexplode(urls).alias("pos", "url"))
 
 
-def _blocks(html: Column, tag: str) -> Column:
-    # Whole elements of one kind; an element left open ends at the next of its kind or at the end.
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?:</{tag}\s*>|(?=<{tag}\b)|\z)"), F.lit(1))
-
-
-def _decoded(text: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
-def plain_text(html: Column) -> Column:
-    """Text of a fragment: comments and tags dropped, common entities resolved."""
-    return _decoded(F.regexp_replace(html, TAG, ""))
-
-
-def cell_text(html: Column) -> Column:
-    """Text of a table cell: the stretches between tags, each trimmed, joined without a gap."""
-    for entity in ("&nbsp;", "&#160;"):
-        html = F.replace(html, F.lit(entity), F.lit(ENTITIES[entity]))
-    # Tags become NUL marks, then the space on either side of a mark goes. Every pattern is anchored on
-    # a mark or the start of a run, so long runs of space cost no more than one look at each character.
-    marked = F.regexp_replace(html, TAG, "\x00")
-    marked = F.regexp_replace(marked, r"\x00[\s\xa0\x00]*+", "\x00")
-    return strip(_decoded(F.regexp_replace(marked, r"(?<![\s\xa0])[\s\xa0]*+\x00", "")))
-
-
-def label_pairs(html: Column | str, marker: str = MARKER) -> Column:
-    """Array of (label, value) from the first table whose text holds ``marker``; only two-cell rows count."""
-    tables = F.filter(_blocks(col(html), "table"), lambda t: plain_text(t).contains(marker))
-    rows = _blocks(F.coalesce(F.get(tables, F.lit(0)), F.lit("")), "tr")
-    cells = F.filter(F.transform(rows, lambda r: _blocks(r, "td")), lambda c: F.size(c) == 2)
-    return F.transform(cells, lambda c: F.struct(
-        cell_text(F.get(c, F.lit(0))).alias("label"), cell_text(F.get(c, F.lit(1))).alias("value")))
+class _Tables(HTMLParser):
+    """Cells of the tables of a page; what stands in a nested table belongs to the outer one too.
+
+    A row, a cell or a table that is left open ends with the next one of its kind in the same table, or with the page.
+    """
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.tables: list[_Table] = []
+        self.open: list[_Table] = []
+
+    def handle_starttag(self, tag: str, attrs) -> None:
+        if tag == "table":
+            self.open.append(_Table())
+            self.tables.append(self.open[-1])
+        elif self.open and tag in ("tr", "td"):
+            (self.open[-1].start_row if tag == "tr" else self.open[-1].start_cell)()
+            if tag == "tr":
+                for outer in self.open[:-1]:
+                    outer.rows.append(self.open[-1].rows[-1])
+        self._break()
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "table" and self.open:
+            self.open.pop()
+        elif self.open and tag in ("tr", "td"):
+            self.open[-1].cell = None
+            if tag == "tr":
+                self.open[-1].row = None
+        self._break()
+
+    def _break(self) -> None:
+        for table in self.open:
+            if table.cell is not None:
+                table.cell.append("")
+
+    def handle_data(self, data: str) -> None:
+        for table in self.open:
+            table.text.append(data)
+            if table.cell is not None:
+                table.cell[-1:] = [(table.cell[-1] if table.cell else "") + data]
+
+
+class _Table:
+    def __init__(self):
+        self.text: list[str] = []
+        self.rows: list[list[list[str]]] = []
+        self.row: list[list[str]] | None = None
+        self.cell: list[str] | None = None
+
+    def start_row(self) -> None:
+        self.row, self.cell = [], None
+        self.rows.append(self.row)
+
+    def start_cell(self) -> None:
+        if self.row is None:
+            self.start_row()
+        self.cell = [""]
+        self.row.append(self.cell)
+
+
+def page_values(html: str | None, marker: str = MARKER) -> dict[str, str]:
+    """Label -> value of the first table whose text holds ``marker``: its rows of two cells, the last of a label wins.
+
+    A cell's text is the stretches between tags, each trimmed, joined without a gap.
+    """
+    parser = _Tables()
+    parser.feed(html or "")
+    parser.close()
+    chosen = next((t for t in parser.tables if marker in "".join(t.text)), None)
+    text = lambda cell: "".join(piece.strip() for piece in cell)
+    return {text(r[0]): text(r[1]) for r in chosen.rows if len(r) == 2} if chosen else {}
 
 
 def label_values(html: Column | str, marker: str = MARKER) -> Column:
-    """Label -> value map; the last of a repeated label wins, empty without a table."""
-    # A fold reads the parsed pairs once; a lambda over them would parse the page again per label.
-    empty = F.create_map().cast("map<string,string>")
-    return F.aggregate(label_pairs(html, marker), empty, lambda seen, p: F.map_concat(
-        F.map_filter(seen, lambda k, v: k != p["label"]), F.create_map(p["label"], p["value"])))
+    """Label -> value map of a page (``page_values``), empty without a table; pages go to Python in Arrow batches."""
+    @F.pandas_udf("map<string,string>")
+    def parse(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda h: page_values(h, marker), na_action=None)
+
+    return parse(col(html))
 
 
 def first_hit(candidates: DataFrame, pages: DataFrame, key: str = "movie_id") -> DataFrame:
     """Per movie, the first candidate address whose page carries data."""
-    # Pages without data lose inside the aggregate. As a filter the test would parse each page twice.
-    parsed = pages.select("url", label_values("html").alias("data"))
-    best = F.min_by(F.struct("url", "data"), F.when(F.size("data") > 0, F.col("pos"))).alias("hit")
+    # Only pages that some candidate names are parsed, each once.
+    wanted = pages.join(candidates.select("url").distinct(), "url", "left_semi")
+    parsed = wanted.select("url", label_values("html").alias("data")).where(F.size("data") > 0)
+    best = F.min_by(F.struct("url", "data"), "pos").alias("hit")
     return (
         candidates.select(key, "pos", "url").join(parsed, "url").groupBy(key).agg(best)
-        .where("hit is not null").select(key, "hit.url", "hit.data")
+        .select(key, "hit.url", "hit.data")
     )

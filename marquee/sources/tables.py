@@ -49,7 +49,12 @@ def _point_at(spark: SparkSession, table: str, df: DataFrame, root: str) -> None
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
+        # Other columns need another table: it is complete under a name of its own before the old one goes.
+        following = f"{table}_next_{uuid.uuid4().hex}"
+        spark.catalog.createTable(following, path=path, source="parquet", schema=df.schema)
         spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+        return
     spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
 
 
