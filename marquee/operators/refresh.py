@@ -153,11 +153,12 @@ def never_refreshed(movies: DataFrame, as_of: dt.datetime, n: int = 10) -> DataF
     )
 
 
-HOT_SHARE = 1000
-SLOTS = 64
+#: Rows of one key that one task takes; a key with more is spread over as many slots as that needs.
+ROWS_PER_TASK = 1_000_000
 
 
-def unchanged_cycles(snapshots: DataFrame, key: str, order: Sequence[str], payload: Sequence[str]) -> DataFrame:
+def unchanged_cycles(snapshots: DataFrame, key: str, order: Sequence[str], payload: Sequence[str],
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Per key, how many of the latest snapshots repeat the one before them without a gap.
 
     The trailing run starts after the last snapshot whose payload differs from the newest one: the
@@ -173,10 +174,10 @@ def unchanged_cycles(snapshots: DataFrame, key: str, order: Sequence[str], paylo
     top = last.select(key, "at", place.alias("place")).where("place <= 2")
     changes = top.groupBy(key).agg(F.max(F.when(F.col("place") == 2, F.col("at"))).alias("changed_at"))
 
-    # A key is hot above a thousandth of all rows, so there are at most a thousand of them to broadcast.
-    sizes = last.groupBy(key).agg(F.sum("n").alias("size"))
-    hot = F.broadcast(sizes.where(F.col("size") * HOT_SHARE > rows.agg(F.count("*").alias("n")).scalar()).select(
-        key, F.lit(SLOTS).alias("__slots")))
+    # Keys above one task's share are few and small as rows; the planner broadcasts them while they fit, and the join
+    # that meets them otherwise splits by size.
+    sizes = last.groupBy(key).agg(F.sum("n").alias("size")).where(F.col("size") > rows_per_task)
+    hot = sizes.select(key, F.ceil(F.col("size") / rows_per_task).cast("int").alias("__slots"))
     salted = rows.select(key, "at").join(hot, key, "left").withColumn(
         "__slot", F.pmod(F.hash("at"), F.coalesce("__slots", F.lit(1))))
     copies = changes.join(hot, key, "left").withColumn(

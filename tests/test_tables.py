@@ -190,8 +190,9 @@ def test_unchanged_cycles(spark):
     seen = {"x": "abbb", "y": "a", "z": "ab", "u": "aab", "v": "aaa"}
     rows = [(k, i, v) for k, s in seen.items() for i, v in enumerate(s)] + [("n", 0, None), ("n", 1, None)]
     df = spark.createDataFrame(rows, "k string, at int, v string")
-    got = {r["k"]: r["cycles"] for r in refresh.unchanged_cycles(df, "k", ["at"], ["v"]).collect()}
-    assert got == {"x": 2, "y": 0, "z": 0, "u": 0, "v": 2, "n": 1}
+    for rows_per_task in (1_000_000, 2, 1):
+        got = {r["k"]: r["cycles"] for r in refresh.unchanged_cycles(df, "k", ["at"], ["v"], rows_per_task).collect()}
+        assert got == {"x": 2, "y": 0, "z": 0, "u": 0, "v": 2, "n": 1}
 
 
 def plan_of(df):
