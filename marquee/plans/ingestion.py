@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marquee.functions import parse
 from marquee.functions.text import slugify
 from marquee.plans import landed
-from marquee.plans.derived import AS_OF, MOVIES, movies, table, with_views
+from marquee.plans.derived import AS_OF, MOVIES, movies, numbers, omdb, refresh_state, table, tmdb, with_views
 from marquee.plans.landed import DETAILS_CTE, DISCOVER_CTE, RATINGS_SQL, TITLES_CTE
 from marquee.plans.registry import query
 from marquee.schemas import TABLES
@@ -111,6 +111,24 @@ def describe_table(spark, sf):
                         ).drop("col_name", "data_type")
 
 
+_KEYED = {"movies": ("movies_v", "tmdb_id"), "tmdb_movies": ("tmdb_v", "tmdb_id"), "omdb_movies": ("omdb_v", "imdb_id"),
+          "numbers_movies": ("numbers_v", "movie_id"), "movie_refresh_state": ("state_v", "movie_id")}
+
+
+@query("key_faults", with_views(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {view} WHERE {key} IS NULL) AS null_keys, "
+    f"(SELECT count(*) FROM (SELECT {key} FROM {view} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys"
+    for name, (view, key) in _KEYED.items())))
+def key_faults(spark, sf):
+    """Rows that break the declared keys, for every table."""
+    stored = {"movies": movies, "tmdb_movies": tmdb, "omdb_movies": omdb, "numbers_movies": numbers, "movie_refresh_state": refresh_state}
+    parts = [tables.key_faults(read(spark, sf), name) for name, read in stored.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query("sql", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 1000.5 AND o_orderpriority = '5-LOW' GROUP BY 1")
 def sql(spark, sf):
     return tables.run_sql(

@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marquee.operators.mutate import upsert
-from marquee.schemas import TABLES, table_defaults
+from marquee.schemas import TABLES, TABLE_KEYS, table_defaults
 from marquee.session import materialize
 from marquee.sources.frames import path_exists
 
@@ -119,6 +119,18 @@ def column_info(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
+def key_faults(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, null_keys, repeated_keys): rows without the table's key, and keys that stand in several rows."""
+    keys = TABLE_KEYS[table]
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return per_key.agg(
+        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("null_keys"),
+        F.count_if(~missing & (F.col("n") > 1)).alias("repeated_keys")).select(F.lit(table).alias("table_name"), "null_keys", "repeated_keys")
+
+
 def run_sql(spark: SparkSession, text: str, params: Sequence[Any] | None = None, **frames: DataFrame) -> DataFrame:
     """SQL with positional ``?`` parameters; ``{name}`` in the text stands for the frame of that name.
 
