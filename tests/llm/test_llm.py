@@ -440,6 +440,32 @@ def test_chains_follow_moves_and_gaps():
         assert abs(top - max(score)) < 1e-9
 
 
+def test_chains_are_cut_where_they_are_not_alike(spark):
+    """Two passages far apart, and one with stray seeds around it: the joint stretch is not alike, the passages are."""
+    rng = random.Random(13)
+    one, two, stray, late = prose(rng, 60), prose(rng, 60), prose(rng, 8), prose(rng, 8)
+    texts = [f"{one} {prose(rng, 100)} {two}", f"{one} {prose(rng, 100)} {two}"]
+    texts += [f"{stray} {prose(rng, 40)} {three} {prose(rng, 40)} {late}" for three in [prose(rng, 60)] for _ in range(2)]
+    texts += [f"{prose(rng, 20)} {four} {prose(rng, 70)} {five} {prose(rng, i)}" for four, five in [(prose(rng, 51), prose(rng, 55))] for i in (90, 400)]
+    w, want = repeated_passages(texts)
+    got = defaultdict(set)
+    for r in passage_chains.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert r.n_words >= 50 and r.n_equal >= passage_chains.ALIKE * max(r.n_words, r.other_words)
+        both = Counter(w[r.doc_id][r.start:r.start + r.n_words]) & Counter(w[r.other_id][r.other_start:r.other_start + r.other_words])
+        assert r.n_equal <= both.total()
+        got[r.doc_id].update(range(r.start, r.start + r.n_words))
+    assert set(want) == {1, 3, 5} and all(want[i] <= got[i] for i in want)
+    # Each document's own words stay.
+    assert all(len(got[i]) < len(want[i]) + 25 for i in want)
+    for _ in range(200):  # every positive score lies in a part, and no part can be cut or lengthened to a greater sum
+        scores = [rng.choice([-5, -3, -2, -1, 1, 2, 3, 4]) for _ in range(rng.randrange(1, 30))]
+        parts = passage_chains.best_parts(scores)
+        held = [i for a, b in parts for i in range(a, b)]
+        assert len(held) == len(set(held)) and {i for i, v in enumerate(scores) if v > 0} <= set(held)
+        for a, b in parts:
+            assert all(sum(scores[a:k]) > 0 and sum(scores[k:b]) > 0 for k in range(a + 1, b))
+
+
 def test_sparse_suffixes(docs, texts, none):
     w, want = repeated_passages(texts)
     got = defaultdict(set)
