@@ -76,6 +76,17 @@ def pairs_with_heads(shared: DataFrame) -> DataFrame:
     return rows.unionByName(linked.select(*rows.columns))
 
 
+def pairs_with_first(shared: DataFrame) -> DataFrame:
+    """From ``heads``: every row with the first row of its whole key, however many stretches the key has."""
+    extra = [c for c in shared.columns if not c.startswith("head_") and c not in ("g", "x")]
+    head = F.struct(*(F.col(f"head_{c}").alias(c) for c in ["x", *extra]))
+    low = shared.groupBy("g").agg(F.min(head).alias("_low"), F.max(head).alias("_high")).where("_low <> _high").select("g", "_low")
+    # A key has several stretches only where it crosses the end of a partition: one row per partition at most.
+    met = shared.join(F.broadcast(low), "g", "left")
+    firsts = [F.coalesce(f"_low.{c}", f"head_{c}").alias(f"head_{c}") for c in ["x", *extra]]
+    return met.select("g", "x", *extra, *firsts).where("x <> head_x")
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of sorted rows cut so that no group is split; what is held back is one group at most."""
     held: pa.Table | None = None

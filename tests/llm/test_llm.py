@@ -376,6 +376,32 @@ def test_heads_across_partitions(spark):
         assert linked == set(range(400))
 
 
+def test_pairs_name_the_first_row_at_any_partition_count(spark):
+    rows = [(g, x, 10 * x + g) for g in range(4) for x in range(300)] + [(100 + i, i, 7) for i in range(50)]
+    shared = columns.heads(spark.createDataFrame(rows, "g long, x long, pos int").repartition(37))
+    pairs = columns.pairs_with_first(materialize(shared, "heads")).collect()
+    assert sorted((r.g, r.x, r.pos, r.head_x, r.head_pos) for r in pairs) == [(g, x, 10 * x + g, 0, g) for g in range(4) for x in range(1, 300)]
+
+
+def test_hot_passage_over_many_partitions(spark):
+    """A passage that most documents hold is found in all of them however finely its seeds are dealt out."""
+    rng = random.Random(17)
+    passage = prose(rng, 60)
+    texts = [f"{prose(rng, 5)} {passage} {prose(rng, 5)}" for _ in range(250)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = passage_chains.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = defaultdict(set)
+    for r in found:
+        got[r.doc_id].update(range(r.start, r.start + r.n_words))
+    assert set(got) == set(range(1, 250)) and all(set(range(5, 65)) <= v for v in got.values())
+
+
 def test_minimisers_hold_every_window():
     rng = np.random.default_rng(1)
     for _ in range(100):
