@@ -492,6 +492,29 @@ def test_chains_are_cut_where_they_are_not_alike(spark):
             assert all(sum(scores[a:k]) > 0 and sum(scores[k:b]) > 0 for k in range(a + 1, b))
 
 
+def test_parts_of_a_passage_that_first_stand_in_different_documents(spark):
+    """Every exact repeat comes out, also where earlier documents hold each of its seeds but not the whole."""
+    rng = random.Random(19)
+    passage = prose(rng, 60).split()
+    own = lambda: prose(rng, 15)
+    texts = [f"{own()} {' '.join(passage[a:b])} {own()}" for a, b in ((0, 30), (30, 60), (15, 45), (0, 60), (0, 60), (0, 50))]
+    other = prose(rng, 90).split()
+    texts += [f"{own()} {' '.join(other[a:a + 30])} {own()}" for a in range(0, 61, 4)]
+    texts += [" ".join(other), f"{own()} {' '.join(other[20:71])}", f"{' '.join(other[12:24])} {own()} {' '.join(other[5:66])}"]
+    for _ in range(300):  # a small stock of phrases, met in all orders
+        texts.append(" ".join(" ".join(other[a:a + rng.randrange(8, 60)]) for a in [rng.randrange(0, 60) for _ in range(4)]))
+    w, want = repeated_passages(texts, 50)
+    got = defaultdict(set)
+    for r in passage_chains.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect():
+        got[r.doc_id].update(range(r.start, r.start + r.n_words))
+    assert {4, 5} <= set(want) and set(want) <= set(got) and all(want[i] <= got[i] for i in want if i < 25)
+    for i in want:  # of a stretch that stands in a document twice, the first place
+        first = {}
+        for k in range(len(w[i]) - 49):
+            first.setdefault(tuple(w[i][k:k + 50]), k)
+        assert all(set(range(k, k + 50)) <= got[i] for k in first.values() if set(range(k, k + 50)) <= want[i] and any(" ".join(w[i][k:k + 50]) in " ".join(w[j]) for j in range(i)))
+
+
 def test_sparse_suffixes(docs, texts, none):
     w, want = repeated_passages(texts)
     got = defaultdict(set)
