@@ -3,12 +3,14 @@
 A page is cut into blocks at block-level tags. Elements that never hold the article (menus, footers, side bars,
 forms, scripts, and elements whose class, id or role says advert, notice, comments and the like) are left out with
 all they hold. The first pass looks at each block alone: link density, length and stop-word density make it good,
-bad or ambiguous; inside an ``article`` or ``main`` element only link density speaks against a block. In the
+bad or ambiguous; inside an ``article`` or ``main`` element only link density speaks against a block, and what stands
+outside such elements is judged by all of them. In the
 second pass ambiguous short blocks take the label of the nearest decided neighbours: of both if they agree, else of
-the nearer one, and the one before at equal distance. Headings follow the text below them.
+the nearer one, and the one before at equal distance; neighbours are those on the same side, inside or outside. Headings follow the text below them.
 
 Defined cases: null and empty html give an empty text; markup that is cut off or never closed ends with the page; the
-first ``article`` or ``main`` ends any unclosed menu or advert before it; an empty table gives no rows; repeated
+first ``article`` or ``main`` ends any unclosed menu or advert before it if no good text stands before it; inside one that
+is closed it counts only where the page has no other text; an empty table gives no rows; repeated
 pages are read each; columns other than the three are not read.
 """
 
@@ -65,6 +67,8 @@ class Block(NamedTuple):
     linked: int
     heading: bool
     within: bool
+    #: From an article inside an element that is left out: counts only where the page has no other text.
+    spare: bool = False
 
 
 def _excluded(tag: str, attributes: str, within: bool) -> bool:
@@ -89,7 +93,7 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, bool, bool]] = []
     pieces: list[str] = []
     at = linked = anchors = 0
-    excluded = inside = False
+    excluded = inside = spare = False
     heading = False
     size = len(html)
 
@@ -97,10 +101,17 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            out.append(Block(text, min(linked, len(text)), heading, inside))
+            out.append(Block(text, min(linked, len(text)), heading, inside, inside and spare))
         pieces.clear()
         linked = 0
 
+    def unclosed() -> bool:
+        """Whether the outermost element that excludes has fewer closing tags to come than elements of its kind are open."""
+        opener = next(i for i, (_, before, _) in enumerate([*stack[1:], ("", True, False)]) if before)
+        name = stack[opener][0]
+        ahead = [bool(f[1]) for f in _MARKUP.finditer(html, at) if (f[2] or "").lower() == name]
+        return 2 * sum(ahead) - len(ahead) < sum(t == name for t, _, _ in stack)
+
     def say(piece: str) -> None:
         nonlocal linked
         if piece and not excluded:
@@ -159,7 +170,10 @@ def blocks(html: str) -> list[Block]:
                 if t in BLOCK and t != "p":
                     break
         if tag in MAIN and excluded and not inside and not any(b.within for b in out):
-            excluded = False  # the first article; later ones inside an excluded element are comments or teasers
+            # The first article ends what was never closed before it. Inside a closed element, or after the text of the
+            # page, it may be a teaser or a comment, and later ones are.
+            spare = any(first_pass(b) == "good" for b in out) or not unclosed()
+            excluded = False
         stack.append((tag, excluded, inside))
         if tag in MAIN and not excluded:
             inside = True
@@ -217,10 +231,17 @@ def second_pass(labels: list[str], found: list[Block]) -> list[bool]:
 
 def main_text(html: str | None) -> str:
     """The article of a page, blocks joined by an empty line."""
-    found = blocks(html or "")
-    if any(b.within for b in found):
-        found = [b for b in found if b.within]
-    keep = second_pass([first_pass(b) for b in found], found)
+    every = blocks(html or "")
+    for found in ([b for b in every if not b.spare], every):
+        # Blocks follow neighbours of their own side: what stands beside an article is no part of it because it is near.
+        keep = [False] * len(found)
+        for side in (True, False):
+            at = [i for i, b in enumerate(found) if b.within == side]
+            own = [found[i] for i in at]
+            for i, k in zip(at, second_pass([first_pass(b) for b in own], own)):
+                keep[i] = k
+        if any(keep):
+            break
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 

@@ -120,6 +120,28 @@ def test_html_cases():
     assert html_text.main_text("<div>" + "zq xv " * 60 + "</div>") == ""
 
 
+def test_html_text_outside_articles():
+    """A story in plain elements stays beside articles that hold teasers or comments."""
+    body = ("the cat is on the mat and it was good for all of us there " * 4).strip()
+    tale = ("she said that they had been in the house for a year and not out " * 4).strip()
+    remark = ("this is what I have to say on it and it is not all there is to say " * 3).strip()
+    story = f"<div id=story><h2>Head</h2><p>{body}</p><p>Short.</p><p>{tale}</p></div>"
+    want = ["Head", body, "Short.", tale]
+    cases = {
+        f"{story}<div class=related><article><p>{remark}</p></article></div>": want,
+        f"<div class=related><article><p>{remark}</p></article></div>{story}": want,
+        f"{story}<section id=comments><article><p>{remark}</p></article></section>": want,
+        f"{story}<section id=comments><article><p>{remark}</p></article>": want,  # cut off
+        f"{story}<article><p>Teaser of another story</p></article>": [*want, "Teaser of another story"],
+        f"<article><p>{remark}</p></article>{story}": [remark, *want],
+        f"<div>Home</div><article><p>{remark}</p></article><div>Imprint</div>": [remark],
+        f"<div id=page><div class=ad>buy<article><p>{remark}</p></article></div>": [remark],
+        f"<form id=page><div>Home</div><article><p>{remark}</p></article></form>": [remark],
+    }
+    for html, text in cases.items():
+        assert html_text.main_text(html).split("\n\n") == text, html
+
+
 def test_html_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     pages = spark.createDataFrame([(1, "u", "<article><p>é b</p></article>", "x", "y"), (1, "u", None, "x", "y"), (None, None, "", None, None)], schema)
