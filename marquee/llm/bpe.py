@@ -146,10 +146,11 @@ def _split_by(values: pa.Array, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(id, ids, starts, ends): token ids and the characters of the text that each covers, in code points.
 
-    A token that holds part of a character covers that character.
+    A token that holds part of a character covers that character. With ``decoded`` the ids of every text are decoded
+    again, and one that does not give the bytes of its text ends the run with an error.
     """
     held = vocabulary(docs.sparkSession, path)
 
@@ -159,6 +160,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             texts = W.named(part, text_col)
             ids, bounds = use.encode(texts)
             raw, offsets = W.text_bytes(texts)
+            if decoded:
+                back, places = use.decode(ids)
+                if not np.array_equal(places[bounds], offsets) or back.tobytes() != raw:
+                    data, cut = back.tobytes(), places[bounds].tolist()
+                    wrong = [i for i in range(part.num_rows) if data[cut[i]:cut[i + 1]] != raw[offsets[i]:offsets[i + 1]]]
+                    raise ValueError(f"decoded ids differ from the text: {W.named(part, id_col).take(pa.array(wrong[:10], pa.int64())).to_pylist()}")
             seen = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])
             at = np.concatenate([[0], np.cumsum(use.token_length[ids])])
             base = np.repeat(seen[offsets[:-1]], np.diff(bounds))
