@@ -12,6 +12,7 @@ from marquee.plans.registry import query
 from marquee.schemas import TABLE_DEFAULTS, table_defaults
 from marquee.session import scratch_path
 from marquee.sources import tables
+from marquee.sources.deltas import DeltaTable
 
 AT = dt.datetime(2001, 8, 2, 13, 0, 0)
 _AT = "TIMESTAMP '2001-08-02 13:00:00'"
@@ -75,6 +76,27 @@ def upsert_bucketed(spark, sf):
     return tables.read_bucketed(spark, path)
 
 
+@query("upsert_delta", with_views(_REPLACED, **_RENAMED))
+def upsert_delta(spark, sf):
+    """The same replacement as a versioned change: the batch's rows and a delete vector, merged on read."""
+    table = DeltaTable(spark, scratch_path(spark, "delta"))
+    table.create(movies(spark, sf), ["tmdb_id"])
+    table.upsert(_renamed(spark, sf), "replace", table_defaults("movies", AS_OF))
+    return table.read()
+
+
+@query("delta_versions", with_views(
+    "SELECT 0 AS version, * FROM movies_v UNION ALL SELECT 1, * FROM (" + _REPLACED + ") UNION ALL SELECT 2, * FROM (" + _REPLACED + ")", **_RENAMED))
+def delta_versions(spark, sf):
+    """Every version of a changed and then compacted table, each read from its own manifest."""
+    table = DeltaTable(spark, scratch_path(spark, "delta"))
+    table.create(movies(spark, sf), ["tmdb_id"])
+    table.upsert(_renamed(spark, sf), "replace", table_defaults("movies", AS_OF))
+    table.compact()
+    return table.read(0).select(F.lit(0).alias("version"), "*").unionByName(table.read(1).select(F.lit(1).alias("version"), "*")).unionByName(
+        table.read(2).select(F.lit(2).alias("version"), "*"))
+
+
 @query("latest_by_key",
        "SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def latest_by_key(spark, sf):
