@@ -1,82 +1,97 @@
 """Toxicity scores from the nearest labelled documents by exact TF-IDF cosine, found through block-max indexes.
 
-Vectors: words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lowered, hashed to 64 bits; weight
-``(1 + ln tf) * (ln((1 + N) / (1 + df)) + 1)`` with document frequencies over all documents, L2-normalised.
-Words in fewer than ``MIN_DF`` documents are left out (measured on sf0.1: held-out AUC 0.89 against 0.83 with all
-words; the choice of ``MIN_DF``, ``K`` and vote weights was made on held-out rows only).
-
-Examples: labelled documents whose crc32(doc_id as text) mod 3 is not 1, at most ``MAX_EXAMPLES`` of them (a
-documented bound on the fitted sample: those first by crc32, then doc_id). Labels, lang, source and doc_id never
-enter a vector or a score.
-
-Search: the examples are dealt into shards of about ``SHARD_POSTINGS`` postings, the documents into groups of
-about ``GROUP_POSTINGS``; each (group, shard) meets once in a cogroup, so every document is compared with every
-example (a stated query set against all rows, in blocks). Inside, a shard is an inverted index whose postings are
-cut into blocks of ``BLOCK`` examples, each (term, block) with its largest weight. A document's upper bound for a
-block is the sum of its weights times those maxima; blocks are scored exactly in falling order of bound until the
-bound falls below the k-th best score, so the result is the exact top ``K`` (ties: smaller example id first).
-A document is never its own neighbour.
-
-Score: votes weighted by cosine plus a prior of weight ``PRIOR`` at the examples' toxic share, then
-calibrated by logistic regression (Platt scaling) fitted on the leave-one-out votes of all rows that may be
-learned from. ``predicted`` is 1 when the score is at least 0.7.
-
-Defined cases: a null or empty text has no terms, no neighbours and the prior's calibrated score; rows that share
-a doc_id are one document (their texts' terms add up), and yield one row; a null doc_id is never an example;
-empty tables give no rows; without any labelled example every score is 0.5 from the calibration's fallback.
-Very long texts are read whole. Extra columns are not read.
+Vectors: words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lowered, hashed into ``BUCKETS`` term slots
+(feature hashing, as Spark ML's HashingTF does); weight ``(1 + ln tf) * (ln((1 + N) / (1 + df)) + 1)`` with
+document frequencies over all documents, L2-normalised; slots in fewer than ``MIN_DF`` documents are left out
+(measured on sf0.1: held-out AUC 0.89 against 0.83 with all words; ``MIN_DF``, ``K`` and the vote weights were
+chosen on held-out rows only). The frequency table has at most ``BUCKETS`` entries whatever the corpus, so it is
+broadcast; every vector is made where its document is read, and no term of a document is shuffled.
+
+Examples: labelled documents whose crc32(doc_id as text) mod 3 is not 1, taken in crc32 order while their
+postings fit ``MAX_INDEX_POSTINGS`` (the documented bound of the fitted sample; the cut is found exactly by three
+small histograms over crc32 bits, never by sorting the labels in one task). Labels, lang, source and doc_id
+never enter a vector or a score.
+
+Search: the examples form an inverted index whose postings are cut into blocks of ``BLOCK`` examples, each
+(term, block) with its largest weight; the index is bounded by ``MAX_INDEX_POSTINGS`` and broadcast. A
+document's upper bound for a block is the sum of its weights times those maxima; blocks are scored exactly in
+falling order of bound until the bound falls below the k-th best score, so the result is the exact top ``K``
+(ties: smaller example id first). A document is never its own neighbour.
+
+Score: votes weighted by cosine plus a prior of weight ``PRIOR`` at the examples' toxic share, then calibrated by
+logistic regression (Platt scaling) fitted on the leave-one-out votes of all labelled rows that may be learned
+from. ``predicted`` is 1 when the score is at least 0.7. ``evidence`` lists the ``EVIDENCE`` nearest examples.
+
+Defined cases: a null or empty text has no terms, no neighbours and the prior's calibrated score; every row is
+scored by itself, so repeated rows give repeated results; a null doc_id is never an example; empty tables give
+no rows; without labelled examples of both kinds the score is the examples' toxic share (0.5 without any).
+Very long texts are read whole, in slices of bounded bytes. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.llm import words as W
 from marquee.llm.registry import query
 from marquee.session import materialize
 
-K, BLOCK, PRIOR, MIN_DF = 30, 128, 0.5, 5
-MAX_EXAMPLES = 20_000
-SHARD_POSTINGS, GROUP_POSTINGS = 4 << 20, 4 << 20
+K, BLOCK, PRIOR, MIN_DF, EVIDENCE = 30, 128, 0.5, 5, 5
+#: Term slots of the hashed vectors (the broadcast frequency table has this many entries, 16 MB as doubles).
+BUCKETS = 1 << 21
+#: The fitted sample: examples in crc32 order while their postings fit this bound (48 MB of index at most).
+MAX_INDEX_POSTINGS = 4 << 20
+#: Rows of a slice searched together.
+QUERY_ROWS = 256
 # Fixed values of the contract: held-out rows are crc32(doc_id) mod 3 = 1; predicted at a score of 0.7.
 HELD_MOD, HELD_REST, CUT = 3, 1, 0.7
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf) for every term of every document; terms are 64-bit hashes of the words."""
+def _terms(part: pa.RecordBatch, text_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, tf) of every distinct term slot of every row of a slice, rows ascending, slots ascending."""
+    words = W.split(W.named(part, text_col), W.FOLDED)
+    if not len(words.codes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    slot = (W.hashes(words.vocabulary) % np.uint64(BUCKETS)).astype(np.int64)
+    key, tf = np.unique(words.row().astype(np.int64) * BUCKETS + slot[words.codes], return_counts=True)
+    return key // BUCKETS, key % BUCKETS, tf
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, text_col):
-            words = W.split(W.named(part, text_col), W.FOLDED)
-            if not len(words.codes):
-                continue
-            hashed = W.hashes(words.vocabulary).view(np.int64)
-            key = words.row().astype(np.int64) * len(words.vocabulary) + words.codes
-            key, tf = np.unique(key, return_counts=True)
-            rows, codes = np.divmod(key, len(words.vocabulary))
-            yield pa.RecordBatch.from_arrays([W.named(part, id_col).take(pa.array(rows)), pa.array(hashed[codes]), pa.array(tf.astype(np.int64))], ["id", "term", "tf"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    counts = docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, term bigint, tf bigint")
-    return counts.groupBy("id", "term").agg(F.sum("tf").alias("tf"))
+def _vectors(part: pa.RecordBatch, text_col: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit TF-IDF vectors of a slice as (first, slots, weights): row ``i`` holds ``first[i]:first[i + 1]``."""
+    rows, slot, tf = _terms(part, text_col)
+    w = (1 + np.log(tf)) * idf[slot]
+    keep = w > 0
+    rows, slot, w = rows[keep], slot[keep], w[keep]
+    norm = np.sqrt(np.bincount(rows, w * w, minlength=part.num_rows))
+    if len(w):
+        w = w / norm[rows]
+    return np.searchsorted(rows, np.arange(part.num_rows + 1)), slot, w
 
 
-def vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> DataFrame:
-    """(id, terms, weights, nnz): unit TF-IDF vectors, terms ascending."""
-    tf = materialize(term_counts(docs, id_col, text_col), label)
-    n = docs.select(id_col).distinct().count()
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    w = tf.join(df.where(F.col("df") >= MIN_DF), "term").select("id", "term", ((1 + F.log("tf")) * (F.log((1.0 + n) / (1 + F.col("df"))) + 1)).alias("w"))
-    grouped = w.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return materialize(grouped.select("id", F.col("e.term").alias("terms"), F.transform("e.w", lambda x: x / F.col("norm")).alias("weights"), F.size("e").alias("nnz")), label)
+def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """IDF of every term slot over all rows; 0 for slots in fewer than ``MIN_DF`` rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in W.slices(batches, text_col):
+            slot, n = np.unique(_terms(part, text_col)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n)], ["slot", "df"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([-1], np.int32)), pa.array(np.array([part.num_rows]))], ["slot", "df"])
+
+    counted = docs.select(text_col).mapInArrow(run, "slot int, df bigint").groupBy("slot").agg(F.sum("df").alias("df"))
+    table = counted.toPandas()  # at most BUCKETS + 1 rows
+    df = np.zeros(BUCKETS, np.int64)
+    real = table["slot"].to_numpy() >= 0
+    df[table["slot"].to_numpy()[real]] = table["df"].to_numpy()[real]
+    n = int(table["df"].to_numpy()[~real].sum())
+    return np.where(df >= MIN_DF, np.log((1.0 + n) / (1.0 + df)) + 1, 0.0)
 
 
 class Shard:
@@ -164,60 +179,122 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def neighbours(vec: DataFrame, examples: DataFrame, k: int = K) -> DataFrame:
-    """(id, nid, nlabel, sim): the exact ``k`` nearest examples of every vector."""
-    total_e = examples.agg(F.sum("nnz")).first()[0] or 0
-    total_q = vec.agg(F.sum("nnz")).first()[0] or 0
-    shards = max(1, math.ceil(total_e / SHARD_POSTINGS))
-    groups = max(1, math.ceil(total_q / GROUP_POSTINGS))
-    queries = vec.select(F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", "terms", "weights")
-    index = examples.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).alias("shard"),
-                            "id", "label", "terms", "weights")
-    kind = vec.schema["id"].dataType.simpleString()
-
-    def run(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or xs.empty:
-            return pd.DataFrame({"id": pd.Series([], "int64"), "nid": pd.Series([], "int64"), "nlabel": pd.Series([], "int32"), "sim": pd.Series([], "float64")})
-        shard = Shard(xs["id"].to_numpy(np.int64), xs["label"].to_numpy(np.int32), [np.asarray(a, np.int64) for a in xs["terms"]], [np.asarray(a, np.float64) for a in xs["weights"]])
-        out = []
-        qids = qs["id"].to_numpy(np.int64)
-        for at in range(0, len(qs), 256):
-            sl = slice(at, at + 256)
-            row, nid, lab, sim = shard.search(qids[sl], [np.asarray(a, np.int64) for a in qs["terms"].iloc[sl]], [np.asarray(a, np.float64) for a in qs["weights"].iloc[sl]])
-            out.append(pd.DataFrame({"id": qids[sl][row], "nid": nid, "nlabel": lab.astype(np.int32), "sim": sim}))
-        return pd.concat(out)
-
-    found = queries.groupBy("g", "shard").cogroup(index.groupBy("g", "shard")).applyInPandas(run, f"id {kind}, nid bigint, nlabel int, sim double")
-    ranked = found.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("sim"), "nid")))
-    return ranked.where(F.col("r") <= k).drop("r")
+def _cut(meta: DataFrame, bound: int) -> int:
+    """The crc32 below which the examples' postings fit ``bound``: whole crc values only, found by histograms."""
+    below, width, left = 0, 1 << 32, bound
+    for shift in (20, 8, 0):
+        inside = meta.where((F.col("crc") >= below) & (F.col("crc") < below + width))
+        hist = sorted(tuple(r) for r in inside.groupBy(F.shiftright(F.col("crc") - below, shift).alias("s")).agg(F.sum("nnz")).collect())
+        total, boundary = 0, None
+        for slot, n in hist:
+            if total + n > left:
+                boundary = slot
+                break
+            total += n
+        if boundary is None:
+            return below + width
+        below, width, left = below + (boundary << shift), 1 << shift, left - total
+    return below
+
+
+def examples_index(docs: DataFrame, labels: DataFrame, idf, id_col: str, text_col: str, label: str) -> dict:
+    """The fitted sample as flat arrays: ids, labels, first, slots, weights."""
+    held = (F.crc32(F.col(id_col).cast("string")) % HELD_MOD) == HELD_REST
+    marks = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held).groupBy(id_col).agg(F.max("toxic").cast("int").alias("label"))
+    rows = docs.select(id_col, text_col).join(marks, id_col)
+
+    def sizes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = idf.value
+        for part in W.slices(batches, text_col):
+            first = _vectors(part, text_col, table)[0]
+            yield pa.RecordBatch.from_arrays([W.named(part, id_col), W.named(part, "label"), pa.array(np.diff(first))], [id_col, "label", "nnz"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    meta = rows.mapInArrow(sizes, f"{id_col} {kind}, label int, nnz bigint").withColumn("crc", F.crc32(F.col(id_col).cast("string")))
+    meta = materialize(meta, label)
+    cut = _cut(meta, MAX_INDEX_POSTINGS)
+    chosen = rows.join(meta.where(F.col("crc") < cut).select(id_col), id_col, "left_semi")
+
+    def flat(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = idf.value
+        for part in W.slices(batches, text_col):
+            first, slot, w = _vectors(part, text_col, table)
+            terms = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(slot.astype(np.int32)))
+            weights = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(w.astype(np.float64)))
+            yield pa.RecordBatch.from_arrays([W.named(part, id_col), W.named(part, "label"), terms, weights], ["id", "label", "terms", "weights"])
+
+    got = chosen.mapInArrow(flat, f"id {kind}, label int, terms array<int>, weights array<double>").toArrow()  # bounded by MAX_INDEX_POSTINGS
+    terms, weights = got.column("terms").combine_chunks(), got.column("weights").combine_chunks()
+    first = np.zeros(got.num_rows + 1, np.int64)
+    np.cumsum(np.nan_to_num(terms.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64), out=first[1:])
+    return {"token": uuid.uuid4().hex, "ids": got.column("id").to_numpy().astype(np.int64), "labels": got.column("label").to_numpy().astype(np.int32), "first": first,
+            "slots": terms.flatten().to_numpy().astype(np.int64), "weights": weights.flatten().to_numpy().astype(np.float64)}
+
+
+_SHARDS: dict[str, Shard] = {}
+
+
+def _shard(held) -> Shard:
+    """The index of a broadcast, built once per worker process."""
+    x = held.value
+    if x["token"] not in _SHARDS:
+        _SHARDS.clear()
+        cuts = x["first"][1:-1]
+        _SHARDS[x["token"]] = Shard(x["ids"], x["labels"], np.split(x["slots"], cuts) if len(x["ids"]) else [], np.split(x["weights"], cuts) if len(x["ids"]) else [])
+    return _SHARDS[x["token"]]
+
+
+def votes(docs: DataFrame, idf, index, prior: float, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
+    """(id, vote, evidence) of every row: cosine-weighted votes of its ``k`` nearest examples, and the nearest few."""
+    evidence_type = pa.struct([("doc_id", pa.int64()), ("sim", pa.float64()), ("label", pa.int32())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, shard = idf.value, _shard(index)
+        for part in W.slices(batches, text_col):
+            first, slot, w = _vectors(part, text_col, table)
+            ids = W.named(part, id_col)
+            qids = np.nan_to_num(ids.to_numpy(zero_copy_only=False).astype(np.float64), nan=-1).astype(np.int64) if ids.null_count else ids.to_numpy().astype(np.int64)
+            yes, total = np.zeros(part.num_rows), np.zeros(part.num_rows)
+            rows, nid, lab, sim = [], [], [], []
+            for at in range(0, part.num_rows, QUERY_ROWS):
+                to = min(at + QUERY_ROWS, part.num_rows)
+                r, i, l, s = shard.search(qids[at:to], [slot[first[j]:first[j + 1]] for j in range(at, to)], [w[first[j]:first[j + 1]] for j in range(at, to)], k)
+                rows.append(r + at), nid.append(i), lab.append(l), sim.append(s)
+            r, i, l, s = (np.concatenate(x) if x else np.zeros(0) for x in (rows, nid, lab, sim))
+            r = r.astype(np.int64)
+            np.add.at(yes, r, s * l)
+            np.add.at(total, r, s)
+            order = np.lexsort((i, -s, r))
+            r, i, l, s = r[order], i[order], l[order], s[order]
+            rank = np.arange(len(r)) - np.searchsorted(r, r)
+            near = rank < EVIDENCE
+            offsets = np.searchsorted(r[near], np.arange(part.num_rows + 1)).astype(np.int32)
+            shown = pa.StructArray.from_arrays([pa.array(i[near].astype(np.int64)), pa.array(s[near].astype(np.float64)), pa.array(l[near].astype(np.int32))], fields=list(evidence_type))
+            vote = (yes + PRIOR * prior) / (total + PRIOR)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(vote), pa.ListArray.from_arrays(pa.array(offsets), shown)], ["id", "vote", "evidence"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, vote double, evidence array<struct<doc_id: bigint, sim: double, label: int>>")
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, label: str = "toxic") -> DataFrame:
-    """(doc_id, held_out, score, predicted, votes, evidence) for every distinct doc_id."""
+    """(doc_id, held_out, score, predicted, vote, evidence) for every row of ``docs``."""
+    spark = docs.sparkSession
     held = (F.crc32(F.col(id_col).cast("string")) % HELD_MOD) == HELD_REST
-    vec = vectors(docs, id_col, text_col, label)
-    marks = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").cast("int").alias("label"))
-    learn = marks.where(~held)
-    chosen = learn.select(id_col, F.crc32(F.col(id_col).cast("string")).alias("h")).orderBy("h", id_col).limit(MAX_EXAMPLES)
-    examples = materialize(vec.join(learn.join(chosen.select(id_col), id_col).withColumnRenamed(id_col, "id"), "id"), label)
-    prior_row = examples.agg(F.avg("label"), F.count("*")).first()
-    prior = float(prior_row[0]) if prior_row[1] else 0.5
-    near = materialize(neighbours(vec, examples.select("id", "label", "terms", "weights", "nnz"), k), label)
-    weight = F.col("sim")
-    votes = near.groupBy("id").agg(F.sum(weight * F.col("nlabel")).alias("yes"), F.sum(weight).alias("all"),
-                                   F.sort_array(F.collect_list(F.struct((-F.col("sim")).alias("o"), F.col("nid").alias("doc_id"), F.col("sim"), F.col("nlabel").alias("label")))).alias("ev"))
-    ids = docs.select(F.col(id_col).alias("id")).distinct()
-    raw = ids.join(votes, "id", "left").select("id", ((F.coalesce("yes", F.lit(0.0)) + PRIOR * prior) / (F.coalesce("all", F.lit(0.0)) + PRIOR)).alias("vote"),
-                                             F.transform(F.coalesce("ev", F.array()), lambda e: e.dropFields("o")).alias("evidence"))
+    idf = spark.sparkContext.broadcast(inverse_frequencies(docs, text_col))
+    flat = examples_index(docs, labels, idf, id_col, text_col, label)
+    prior = float(flat["labels"].mean()) if len(flat["labels"]) else 0.5
+    index = spark.sparkContext.broadcast(flat)
+    raw = materialize(votes(docs, idf, index, prior, id_col, text_col, k), label)
     eps = 1e-6
-    raw = materialize(raw.withColumn("logit", F.log((F.col("vote") + eps) / (1 - F.col("vote") + eps))), label)
-    fit = raw.join(marks.where(~held).withColumnRenamed(id_col, "id"), "id")
-    if fit.select("label").distinct().count() == 2:
-        model = LogisticRegression(featuresCol="f", labelCol="label", regParam=0.0, maxIter=100).fit(VectorAssembler(inputCols=["logit"], outputCol="f").transform(fit.withColumn("label", F.col("label").cast("double"))))
-        a, b = float(model.coefficients[0]), float(model.intercept)
-        calibrated = 1 / (1 + F.exp(-(F.lit(a) * F.col("logit") + F.lit(b))))
+    logit = F.log((F.col("vote") + eps) / (1 - F.col("vote") + eps))
+    marks = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held).groupBy(id_col).agg(F.max("toxic").cast("double").alias("label"))
+    fit = raw.select(F.col("id").alias(id_col), logit.alias("logit")).join(marks, id_col)
+    if len(set(flat["labels"].tolist())) == 2 and fit.select("label").distinct().count() == 2:
+        model = LogisticRegression(featuresCol="f", labelCol="label", regParam=0.0, maxIter=100).fit(VectorAssembler(inputCols=["logit"], outputCol="f").transform(fit))
+        calibrated = 1 / (1 + F.exp(-(F.lit(float(model.coefficients[0])) * logit + F.lit(float(model.intercept)))))
     else:
-        calibrated = F.lit(prior if prior_row[1] else 0.5)
+        calibrated = F.lit(prior)
     out = raw.select(F.col("id").alias(id_col), calibrated.alias("score"), "vote", "evidence")
     return out.select(id_col, F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "vote", "evidence")
 

@@ -63,7 +63,7 @@ def test_scores_on_odd_rows(spark, corpus):
     docs = spark.createDataFrame(rows, CLASHES).repartition(3)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     out = {r.doc_id: r for r in T.score(docs, marks).collect()}
-    assert set(out) == {r[0] for r in rows}                  # one row per doc_id, repeated rows once
+    assert set(out) == {r[0] for r in rows}
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in out.values())
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in out.items())
     assert out[600].evidence == [] and out[601].evidence == [] and out[600].score == out[601].score
@@ -76,3 +76,24 @@ def test_scores_on_odd_rows(spark, corpus):
 def test_scores_empty(spark):
     docs = spark.createDataFrame([], CLASHES)
     assert T.score(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_sample_cut_is_exact(spark):
+    rng = np.random.default_rng(9)
+    crc = rng.integers(0, 1 << 32, 3000)
+    crc[:40] = crc[40]                                  # one crc value shared by many rows
+    nnz = rng.integers(0, 50, 3000)
+    meta = spark.createDataFrame([(int(c), int(n)) for c, n in zip(crc, nnz)], "crc long, nnz long")
+    for bound in (0, 10, 5000, 40_000, 10 ** 9):
+        cut = T._cut(meta, bound)
+        assert nnz[crc < cut].sum() <= bound
+        above = np.unique(crc[crc >= cut])
+        if len(above):
+            assert nnz[crc <= above[0]].sum() > bound   # the next crc value would not fit
+
+
+def test_repeated_rows_scored_each(spark, corpus):
+    rows, labels = corpus
+    docs = spark.createDataFrame(rows, CLASHES)
+    out = T.score(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert out.count() == len(rows) and out.where("doc_id = 603").select("score").distinct().count() == 1
