@@ -13,7 +13,8 @@ from marquee.plans.registry import query
 from marquee.schemas import TABLES
 from marquee.session import scratch_path
 from marquee.sources import frames, pages, payloads, tables
-from marquee.streaming.ingest import ingest_stream
+from marquee.sources.deltas import DeltaTable
+from marquee.streaming.ingest import ingest_stream, ingest_stream_ledger
 
 _NOW = "TIMESTAMP '2001-08-02 12:00:00'"
 
@@ -312,18 +313,19 @@ def discover_filter(spark, sf):
 _FETCHED = "TIMESTAMP '2001-08-01 00:00:00' + (id % 24) * INTERVAL '1' HOUR"
 
 
-@query("ingest_stream", with_views(
+_STREAM_SQL = with_views(
     "SELECT id AS tmdb_id, CASE WHEN id % 3 = 0 THEN title || ' v2' ELSE title END AS title, "
     f"CASE WHEN id % 3 = 0 THEN {_FETCHED} + INTERVAL '12' HOUR ELSE {_FETCHED} END AS fetched_at, genres, revenue "
     "FROM details_v WHERE status IS NOT NULL UNION ALL "
     f"SELECT id + 10000000, title || ' late', {_FETCHED} - INTERVAL '10' DAY, genres, revenue FROM details_v WHERE status IS NOT NULL AND id % 5 = 0",
-    **DETAILS_CTE))
-def stream_ingest(spark, sf):
+    **DETAILS_CTE)
+
+
+def _stream_parts(spark, sf):
     """Landings of the same movies, the second newer for a third of them and older for another third; then new movies
-    that are ten days late, lines without a key, and the first landing once more."""
+    that are ten days late and lines without a key; then the first landing once more."""
     rows = landed.details_rows(spark, sf)
     at = F.expr("TIMESTAMP_NTZ '2001-08-01 00:00:00' + (id % 24) * INTERVAL '1' HOUR")
-    landing, columns = scratch_path(spark, "landing-stream"), rows.columns
     first = rows.withColumn("fetched_at", at)
     later = first.withColumn("title", F.concat("title", F.lit(" v2"))).withColumn(
         "fetched_at", F.when(F.col("id") % 3 == 0, F.expr("fetched_at + INTERVAL '12' HOUR")).otherwise(
@@ -331,13 +333,37 @@ def stream_ingest(spark, sf):
     late = first.where("id % 5 = 0").withColumns({
         "id": F.col("id") + 10000000, "title": F.concat("title", F.lit(" late")), "fetched_at": F.expr("fetched_at - INTERVAL '10' DAY")})
     keyless = first.where("id % 7 = 0").withColumn("id", F.lit(None).cast("bigint"))
-    path, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
+    return rows.columns, [first, later, late.unionByName(keyless), first]
+
+
+def _land(part, columns, landing):
+    part.select(F.to_json(F.struct(*columns, F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"))).alias("value")
+                ).write.mode("append").text(landing)
 
-    def normalize(batch):
-        return payloads.normalize_details(batch, AS_OF, carry=["fetched_at"])
 
-    for part in (first, later, late.unionByName(keyless), first):
-        part.select(F.to_json(F.struct(*columns, F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"))).alias("value")
-                    ).write.mode("append").text(landing)
-        ingest_stream(spark, landing, "details", normalize, path, ["tmdb_id"], checkpoint).awaitTermination()
+def _normalize(batch):
+    return payloads.normalize_details(batch, AS_OF, carry=["fetched_at"])
+
+
+@query("ingest_stream", _STREAM_SQL)
+def stream_ingest(spark, sf):
+    """The landings as a stream into the bucketed table, one stream run after each."""
+    columns, parts = _stream_parts(spark, sf)
+    landing = scratch_path(spark, "landing-stream")
+    path, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
+    for part in parts:
+        _land(part, columns, landing)
+        ingest_stream(spark, landing, "details", _normalize, path, ["tmdb_id"], checkpoint).awaitTermination()
     return tables.read_bucketed(spark, path).select("tmdb_id", "title", "fetched_at", "genres", "revenue")
+
+
+@query("ingest_stream_ledger", _STREAM_SQL)
+def stream_ingest_ledger(spark, sf):
+    """The same landings into a versioned table whose manifests record each committed batch."""
+    columns, parts = _stream_parts(spark, sf)
+    landing = scratch_path(spark, "landing-stream")
+    path, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-checkpoint")
+    for part in parts:
+        _land(part, columns, landing)
+        ingest_stream_ledger(spark, landing, "details", _normalize, path, ["tmdb_id"], checkpoint).awaitTermination()
+    return DeltaTable(spark, path).read().select("tmdb_id", "title", "fetched_at", "genres", "revenue")

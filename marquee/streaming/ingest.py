@@ -11,6 +11,7 @@ from marquee.operators.mutate import latest_by_key
 from marquee.session import materialize
 from marquee.sources.frames import path_exists
 from marquee.sources.payloads import PAYLOADS, _corrupt, valid_payload
+from marquee.sources.deltas import DeltaTable
 from marquee.sources.tables import read_bucketed, upsert_bucketed, write_bucketed
 
 
@@ -58,3 +59,45 @@ def ingest_stream(spark: SparkSession, landing: str, kind: str, normalize: Calla
         source.withColumn("__good", F.coalesce(good, F.lit(False))).writeStream.outputMode("append").foreachBatch(take)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def commit_batch(table: DeltaTable, batch: DataFrame, batch_id: int, stream: str, stamp: str, files: list[str],
+                 before_commit: Callable[[], None] | None = None) -> bool:
+    """Merge one micro-batch into ``table`` unless the table's ledger already holds it; True if it was merged now.
+
+    The batch id and the batch's source files are written in the same manifest as its rows, so the lookup
+    decides: a batch that died before its commit left nothing and runs again; one that committed is skipped.
+    """
+    done = table.ledger().get(stream, {}).get("batch", -1)
+    if batch_id <= done:
+        return False
+    table.merge_newest(batch, stamp, {stream: {"batch": batch_id, "files": sorted(files)}}, before_commit)
+    return True
+
+
+def ingest_stream_ledger(spark: SparkSession, landing: str, kind: str, normalize: Callable[[DataFrame], DataFrame], path: str,
+                         keys: Sequence[str], checkpoint: str, stamp: str = "fetched_at", files_per_batch: int = 1000,
+                         stream: str | None = None, before_commit: Callable[[], None] | None = None) -> StreamingQuery:
+    """Read payload files as they land and merge them into a versioned table, exactly once per batch.
+
+    Per key the row with the latest stamp wins; equal stamps go to the larger row by its other columns, so any
+    order of arrival ends in the same table. Lines that are invalid, or lack the stamp or the key, do not reach
+    the table. ``before_commit`` runs between writing a batch's files and committing them (for tests).
+    """
+    schema = _corrupt(PAYLOADS[kind]).add("fetched_at", "timestamp_ntz")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
+    id_column = {"details": "id", "title": "imdbID", "discover": "id"}[kind]
+    good = valid_payload(source, kind) & F.col("fetched_at").isNotNull() & F.col(id_column).isNotNull()
+    name = stream or checkpoint
+    table = DeltaTable(spark, path)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(normalize(batch.where(F.coalesce(good, F.lit(False)))), "micro-batch")
+        files = [r[0] for r in batch.select(F.input_file_name()).distinct().collect()]  # at most files_per_batch
+        if table.version() < 0:
+            table.create(rows.limit(0), keys)
+        commit_batch(table, rows, batch_id, name, stamp, files, before_commit)
+
+    return (
+        source.writeStream.outputMode("append").foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
