@@ -130,8 +130,7 @@ class Shard:
         # Upper bound of every (query, block): query weights times block maxima.
         segs = W.spread(self.term_first[t], self.term_first[t + 1] - self.term_first[t])
         owner = np.repeat(np.arange(len(t)), self.term_first[t + 1] - self.term_first[t])
-        bound = np.zeros((m, self.blocks))
-        np.add.at(bound, (q[owner], self.keys[segs] % self.blocks), w[owner] * self.most[segs])
+        bound = np.bincount(q[owner] * self.blocks + self.keys[segs] % self.blocks, w[owner] * self.most[segs], m * self.blocks).reshape(m, self.blocks)
         order = np.argsort(-bound, axis=1, kind="stable")
         best_s = np.full((m, k), -1.0)
         best_i = np.full((m, k), -1, np.int64)
@@ -153,8 +152,7 @@ class Shard:
             posts = W.spread(self.start[hit], self.end[hit] - self.start[hit])
             owner = np.repeat(np.arange(len(hit)), self.end[hit] - self.start[hit])
             local = self.doc[posts] - pb[pair[owner]] * self.block
-            scores = np.zeros((len(live), self.block))
-            np.add.at(scores, (pair[owner], local), w[entry[owner]] * self.weight[posts])
+            scores = np.bincount(pair[owner] * self.block + local, w[entry[owner]] * self.weight[posts], len(live) * self.block).reshape(len(live), self.block)
             docs = pb[:, None] * self.block + np.arange(self.block)[None, :]
             valid = (docs < len(self.ids)) & (scores > 0)
             ids = np.where(valid, self.ids[np.minimum(docs, len(self.ids) - 1)], -1)
@@ -173,10 +171,7 @@ class Shard:
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Columns of the ``k`` best per row: higher score, then smaller id; empty places (-1) last."""
     tie = np.where(ids < 0, np.iinfo(np.int64).max, ids)
-    out = np.empty((scores.shape[0], k), np.int64)
-    for r in range(scores.shape[0]):
-        out[r] = np.lexsort((tie[r], -scores[r]))[:k]
-    return out
+    return np.lexsort((tie, -scores), axis=-1)[:, :k]
 
 
 def _cut(meta: DataFrame, bound: int) -> int:
