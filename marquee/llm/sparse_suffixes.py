@@ -136,7 +136,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, "text_a", W.SLICE_BYTES // 2):
+        for part in W.slices(batches, "text_a", W.SLICE_BYTES // 2, "text_b"):
             a, b = (W.split(W.named(part, c), W.LOWERED) for c in ("text_a", "text_b"))
             left, right = W.hashes(a.vocabulary)[a.codes], W.hashes(b.vocabulary)[b.codes]
             out = []

@@ -67,11 +67,17 @@ def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each part holds about ``limit`` bytes of text, one row at least."""
+def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, *more: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each part holds about ``limit`` bytes of text, one row at least.
+
+    Texts of the columns ``more`` count as well, so a pair of texts is bounded on both sides.
+    """
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0)
-        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+        ends = np.zeros(batch.num_rows, np.int64)
+        for name in (text, *more):
+            sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0)
+            ends += sizes.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(ends, dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
