@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -207,3 +208,85 @@ def smallest_by_hash(df: DataFrame, keys: Sequence[str], share: float, seed: int
         *[F.lit(cut[k]).cast(df.schema[k].dataType).alias(k) for k in keys]
     )
     return (h < F.lit(cut["h"])) | ((h == F.lit(cut["h"])) & tie)
+
+
+#: Size of the stored quantile sketches, and the rank slack put around each sketched quantile (about twice the
+#: normalised rank error of a KLL sketch of this size, for any number of merged sketches).
+KLL_K, KLL_SLACK = 200, 0.04
+_RANGE = "feature string, count long, mean double, std double, min double, max double, quantiles array<double>"
+
+
+def _period_values(df: DataFrame, columns: Sequence[str], period: str) -> DataFrame:
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value")) for c in columns])
+    return df.select(F.col(period).alias("period"), F.inline(cells)).where("value is not null")
+
+
+def period_sketches(df: DataFrame, columns: Sequence[str], period: str) -> DataFrame:
+    """(period, feature, n, total, squares, low, high, sketch): per period and column a mergeable KLL sketch and sums.
+
+    Stored once, it answers the profile of any range of periods without reading the rows again.
+    """
+    value = F.col("value")
+    return _period_values(df, columns, period).groupBy("period", "feature").agg(
+        F.count("*").alias("n"), F.sum(value).alias("total"), F.sum(value * value).alias("squares"), F.min(value).alias("low"),
+        F.max(value).alias("high"), F.kll_sketch_agg_double(value, KLL_K).alias("sketch"))
+
+
+def _merged(sketches: DataFrame, start: Any = None, end: Any = None) -> DataFrame:
+    chosen = sketches
+    if start is not None:
+        chosen = chosen.where(F.col("period") >= F.lit(start))
+    if end is not None:
+        chosen = chosen.where(F.col("period") <= F.lit(end))
+    n = F.sum("n")
+    return chosen.groupBy("feature").agg(
+        n.alias("n"), (F.sum("total") / n).alias("mean"),
+        F.sqrt(F.try_divide(F.sum("squares") - F.sum("total") * F.sum("total") / n, n - 1)).alias("std"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.kll_merge_agg_double("sketch", KLL_K).alias("sketch"))
+
+
+def sketched_profile(sketches: DataFrame, probs: Sequence[float], start: Any = None, end: Any = None) -> DataFrame:
+    """Count, mean, deviation, extremes and quantiles of the periods in [start, end], from stored sketches alone.
+
+    The quantiles are the sketch's, within its rank error; ``range_profile`` makes them exact.
+    """
+    merged = _merged(sketches, start, end)
+    quantiles = F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))) for p in probs])
+    return merged.select("feature", F.col("n").alias("count"), "mean", "std", F.col("low").alias("min"), F.col("high").alias("max"),
+                         quantiles.alias("quantiles"))
+
+
+def range_profile(df: DataFrame, columns: Sequence[str], period: str, sketches: DataFrame, probs: Sequence[float],
+                  start: Any = None, end: Any = None) -> DataFrame:
+    """As ``sketched_profile`` with exact, linearly interpolated quantiles.
+
+    The merged sketch brackets each quantile by ``KLL_SLACK`` of rank on both sides; only the values of the range
+    inside the brackets are counted one by one, the rest as one per side. A quantile outside its bracket (the sketch
+    erred beyond its slack) repeats the count without brackets, so the result is exact in every case.
+    """
+    spark = df.sparkSession
+    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-KLL_SLACK, KLL_SLACK)]
+    merged = _merged(sketches, start, end).select(
+        "feature", "n", "mean", "std", "low", "high",
+        F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(e)) for e in edges]).alias("edges")).collect()
+    if not merged:
+        return spark.createDataFrame([], _RANGE)
+    rows = df
+    if start is not None:
+        rows = rows.where(F.col(period) >= F.lit(start))
+    if end is not None:
+        rows = rows.where(F.col(period) <= F.lit(end))
+    values = _period_values(rows, columns, period).drop("period")
+    brackets = {r["feature"]: _brackets(r["edges"], probs, KLL_SLACK) for r in merged}
+    found = _at_ranks(values, probs, brackets)
+    if any(r["outside"] for r in found.values()):
+        found = _at_ranks(values, probs, {})
+    out = []
+    for r in merged:
+        quantiles = []
+        for i, p in enumerate(probs):
+            low, high, place = found[r["feature"]][f"lo{i}"], found[r["feature"]][f"hi{i}"], p * (r["n"] - 1)
+            quantiles.append(low + (high - low) * (place - math.floor(place)))
+        out.append((r["feature"], r["n"], r["mean"], r["std"], r["low"], r["high"], quantiles))
+    return spark.createDataFrame(out, _RANGE)

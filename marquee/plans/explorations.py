@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from marquee.operators import explore
+from marquee.operators import explore, ranking
 from marquee.plans.derived import flagged, modeling, star, table, with_views
 from marquee.plans.registry import query
+from marquee.session import materialize
 
 NUMERIC = ["metascore", "rotten_tomatoes_rating", "meta_critic_rating", "budget", "revenue", "tmdb_vote_count",
            "tmdb_vote_average", "runtime_in_min", "tmdb_popularity", "imdb_rating", "imdb_votes"]
@@ -190,3 +191,21 @@ def mean_by_year(spark, sf):
 def part_name_labels(spark, sf):
     names = table(spark, sf, "part").withColumn("p_name", F.replace("p_name", F.lit(" "), F.lit(",")))
     return explore.top_labels(names, {"p_name": 5})
+
+
+_RANGED = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query("range_profile", "WITH v AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') BETWEEN '1994-01' AND '1995-12' "
+    f"AND {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in _RANGED)
+    + ") SELECT feature, count(*) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std, min(value) AS min, "
+    "max(value) AS max, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS median, "
+    "round(quantile_cont(value, 0.75), 6) AS q75 FROM v GROUP BY feature")
+def range_profile(spark, sf):
+    """Line items by ship month: sketches stored once, then two years profiled from them with exact quantiles."""
+    rows = table(spark, sf, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    sketches = materialize(ranking.period_sketches(rows, _RANGED, "month"), "sketches")
+    out = ranking.range_profile(rows, _RANGED, "month", sketches, [0.25, 0.5, 0.75], "1994-01", "1995-12")
+    return out.select("feature", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "max",
+                      *[F.round(F.col("quantiles")[i], 6).alias(n) for i, n in enumerate(("q25", "median", "q75"))])
