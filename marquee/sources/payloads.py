@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from marquee.functions import parse
 from marquee.functions.dates import stamp, year_bounds
@@ -128,8 +128,6 @@ def discover_filter(items: DataFrame, start: int, end: int | None = None, min_vo
     rows = rows.select("id", *[F.col(f"r.{c}").alias(c) for c in rest]).select(*items.columns)
     if max_pages is None:
         return rows
-    capped = []
-    for year in range(start, end + 1):
-        low, high = year_bounds(year, year)
-        capped.append(rows.where((day >= low) & (day < high)).orderBy(day.desc(), "id").limit(max_pages * PAGE_ROWS))
-    return reduce(DataFrame.unionByName, capped)
+    # One ranking for all years; Spark keeps each partition's first rows of a year before the shuffle.
+    newest = Window.partitionBy(F.year(day)).orderBy(day.desc(), F.col("id"))
+    return rows.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= max_pages * PAGE_ROWS).drop("__rank")
