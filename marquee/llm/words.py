@@ -6,6 +6,7 @@ memory does not depend on how many rows a batch or a partition has.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -84,6 +85,9 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    # Python workers are reused by later tasks and stages: hand back what this task's batches held.
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def packed(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
