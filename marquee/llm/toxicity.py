@@ -87,11 +87,13 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.array([-1], np.int32)), pa.array(np.array([part.num_rows]))], ["slot", "df"])
 
     counted = docs.select(text_col).mapInArrow(run, "slot int, df bigint").groupBy("slot").agg(F.sum("df").alias("df"))
-    table = counted.toPandas()  # at most BUCKETS + 1 rows
+    table = counted.toArrow()  # at most BUCKETS + 1 rows, straight into numpy
+    slot, count = table.column("slot").to_numpy(), table.column("df").to_numpy()
+    del table
+    real = slot >= 0
     df = np.zeros(BUCKETS, np.int64)
-    real = table["slot"].to_numpy() >= 0
-    df[table["slot"].to_numpy()[real]] = table["df"].to_numpy()[real]
-    n = int(table["df"].to_numpy()[~real].sum())
+    df[slot[real]] = count[real]
+    n = int(count[~real].sum())
     return np.where(df >= MIN_DF, np.log((1.0 + n) / (1.0 + df)) + 1, 0.0)
 
 
