@@ -1,9 +1,12 @@
 """Literal cases for the text parsers and label functions."""
 
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions import parse, text
+from marquee.sources import pages
 
 
 @pytest.mark.parametrize("make, cases", [
@@ -99,3 +102,26 @@ def test_candidate_without_year(spark):
     got = pages.candidate_urls(rows, year=F.col("y")).orderBy("movie_id", "pos").select("movie_id", "pos", "url").collect()
     assert [(r[0], r[1], r[2].rsplit("/", 1)[1]) for r in got] == [
         (1, 0, "Up-(2009)"), (1, 1, "Up#tab=summary"), (2, 0, "Up#tab=summary")]
+
+
+def test_first_hit_parses_each_page_once(spark):
+    candidates = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c"), (3, 0, "b")], "movie_id bigint, pos int, url string")
+    table = "<table><tr><td>Production Budget</td><td>$%d</td></tr></table>"
+    landed = spark.createDataFrame([("a", "<p>none</p>"), ("b", table % 1), ("c", None), ("x", table % 2)], "url string, html string")
+    hits = pages.first_hit(candidates, landed)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    assert sorted((r["movie_id"], r["url"], r["data"]["Production Budget"]) for r in hits.collect()) == [(1, "b", "$1"), (3, "b", "$1")]
+
+
+def test_plain_pages_are_read_as_the_tokenizer_reads_them():
+    pieces = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", '<TD a="1">', "a", "b&amp", "&lt;", "<", " ", "<br/>", "<!-- x -->", "<b>",
+              "</b>", "Production Budget", "<script>", "</script>", '</td x="1">', "<td a=b>", "<p a='<'>", "<table ", "<title>", '<tr\n b="2" >']
+    random = Random(7)
+    for _ in range(3000):
+        html = "<table>" * random.randint(0, 1) + "".join(random.choices(pieces, k=random.randint(2, 25)))
+        fed, read = pages._Tables(), pages._Tables()
+        fed.feed(html)
+        fed.close()
+        read.read(html)
+        assert [t.rows for t in fed.tables] == [t.rows for t in read.tables] and [t.text for t in fed.tables] == [t.text for t in read.tables], html
