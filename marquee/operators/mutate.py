@@ -61,8 +61,11 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], mode: st
         F.when(F.col("__hit"), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
         for c in target.columns
     ])
-    present = target.select(*keys).join(batch.select(*keys), list(keys), "left_semi").distinct()
-    return patched.unionByName(complete(batch.join(present, list(keys), "left_anti")))
+    # Bare keys pack into so few bytes that coalescing by size would put millions of them in one task; a shuffle into a
+    # given number of partitions is left as it is.
+    spread = batch.repartition(int(target.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    present = target.select(*keys).join(spread.select(*keys), list(keys), "left_semi").distinct()
+    return patched.unionByName(complete(spread.join(present, list(keys), "left_anti")))
 
 
 def assign_ids(rows: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:

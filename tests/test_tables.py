@@ -246,3 +246,19 @@ def test_hot_key_is_split(spark):
         F.when(F.col("id") < 29_000, "a").otherwise("b").alias("v"))
     got = {r["k"]: r["cycles"] for r in refresh.unchanged_cycles(rows, "k", ["at"], ["v"]).collect()}
     assert got[0] == sum(1 for i in range(29_000, 30_000) if i % 3) - 1 and got[3] == 0 and len(got) == 10_000
+
+
+def test_patch_keeps_key_joins_spread(spark):
+    """Bare keys are joined in as many partitions as set, however few bytes they pack into."""
+    target = spark.range(100_000).select(F.col("id"), F.lit("a").alias("v"))
+    batch = spark.range(50_000, 150_000).select("id", F.lit("b").alias("v"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mutate.upsert(target, batch, ["id"], "patch")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 150_000 and out.where("v = 'b'").count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # Such an exchange is left alone when small partitions are put together.
+    assert "REPARTITION_BY_NUM" in plan
