@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marquee.functions.dates import age_category, refresh_interval
 from marquee.operators import mutate, refresh
 from marquee.operators.joins import lookup
+from marquee.plans import derived
 from marquee.schemas import TABLE_DEFAULTS, TABLES
 from marquee.session import scratch_path
 from marquee.sources import frames, payloads, tables
@@ -262,3 +263,20 @@ def test_patch_keeps_key_joins_spread(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     # Such an exchange is left alone when small partitions are put together.
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_stored_tables_grow_in_parts_not_in_part_size(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(derived, "_STORED", {})
+    monkeypatch.setattr(derived, "ROWS_PER_PART", 100)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    parts = derived.movies(spark, sf_dir).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in parts) == orders and len(parts) > orders / 100 * 0.8 > 8
+    assert max(r["count"] for r in parts) < 300
+
+
+def test_film_sums_are_hashed_not_sorted(spark, sf_dir):
+    rows, _, _ = derived._sources(spark, sf_dir, "tmdb")
+    assert "SortAggregate" not in rows._jdf.queryExecution().executedPlan().toString()
+    want = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").agg(F.max("l_linestatus").alias("top"))
+    wrong = rows.join(want, "l_orderkey").where("(coalesce(status, '') = 'O') <> (coalesce(top, '') = 'O')")
+    assert wrong.count() == 0
