@@ -132,6 +132,7 @@ def _fences(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (outermost values within 1.5 IQR) and the number of outliers per column."""
+    df = materialize(df.select(*columns), "box-cells")  # read three times
     fences = _fences(df, columns)  # one row per column
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     value = F.when(inside, F.col("value"))
@@ -142,6 +143,7 @@ def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The values outside the fences, as (feature, value) rows."""
+    df = materialize(df.select(*columns), "outlier-cells")  # read three times
     fences = F.broadcast(_fences(df, columns).select("feature", "low_fence", "high_fence"))
     outside = ~F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     return melt_numeric(df, columns).join(fences, "feature").where(outside).select("feature", "value")

@@ -8,6 +8,7 @@ from marquee.operators import encode, features
 from marquee.operators.impute import ChainedImputer
 from marquee.plans.derived import modeling, omdb, star, table, with_views
 from marquee.plans.registry import query
+from marquee.session import materialize
 
 IMPUTED = ["metascore", "rotten_tomatoes_rating", "meta_critic_rating", "budget", "tmdb_vote_count", "tmdb_vote_average",
            "runtime_in_min", "tmdb_popularity", "imdb_rating", "imdb_votes"]
@@ -224,6 +225,6 @@ _ORDINAL = {
     "LEFT JOIN director_v d ON m.director = d.director LEFT JOIN writer_v w ON m.writer = w.writer", **_ORDINAL))
 def ordinal_encode(spark, sf):
     """Fitted on the releases before 1999, applied to all."""
-    rows = modeling(spark, sf, ["movie_id", "release_date", "director", "writer"])
+    rows = materialize(modeling(spark, sf, ["movie_id", "release_date", "director", "writer"]), "ordinal-rows")  # fitted twice, then encoded
     train = rows.where("release_date < DATE '1999-01-01'")
     return encode.OrdinalEncoder(["director", "writer"]).fit(train).transform(rows).drop("release_date")

@@ -253,3 +253,19 @@ def test_value_counts_share_sums_to_one(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string")
     got = explore.value_counts(rows, "v", share=True).collect()
     assert [(r.v, r.n) for r in got] == [("a", 2), ("b", 1)] and statistics.fsum(r.share for r in got) == 1.0
+
+
+def test_fences_read_their_rows_once(spark, tmp_path):
+    """The rows behind box plots are stored once, however often the values are read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS v").mapInArrow(count, "v double")
+    assert explore.outliers(rows, ["v"]).count() == 0
+    assert seen.value == 1000
+    assert explore.box_stats(rows, ["v"]).first()["outliers"] == 0
+    assert seen.value == 2000
