@@ -546,3 +546,19 @@ def test_sparse_suffixes(docs, texts, none):
         got[r.doc_id].update(range(r.start, r.start + r.n_words))
     assert all(want[i] <= got[i] for i in want if i < 20) and set(want) <= set(got)
     assert sparse_suffixes.repeats(none).count() == 0
+
+
+def test_inexact_passage_whose_seeds_first_occur_in_many_documents(spark):
+    """Every seed of a passage also stands in an earlier document of its own, few times or very often."""
+    rng = random.Random(23)
+    for holders in (1, 60):
+        passage = prose(rng, 96).split()
+        changed = [w if i % 24 != 11 else f"new{i}" for i, w in enumerate(passage)]
+        # Any window that must hold a seed lies in one of them whole.
+        parts = [" ".join(passage[max(i, 0):i + 40]) for i in range(-24, 96, 16)]
+        texts = [f"{prose(rng, 40)} {part} {prose(rng, 40)}" for part in parts for _ in range(holders)]
+        a, b = len(texts), len(texts) + 1
+        texts += [f"{prose(rng, 20)} {' '.join(passage)} {prose(rng, 20)}", f"{prose(rng, 20)} {' '.join(changed)} {prose(rng, 20)}"]
+        found = passage_chains.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert {(r.doc_id, r.other_id) for r in found} == {(b, a)}
+        assert found[0].n_words >= 90
