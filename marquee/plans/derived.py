@@ -196,8 +196,9 @@ def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         order = [F.expr(columns[c].format(**_DIALECT["spark"])) for c in cluster]
         parts = max(spark.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_PART))
         used = [c for c in rows.columns if any(re.search(rf"\b{c}\b", e) for e in columns.values())]
-        placed = rows.select(*used).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        _STORED[key] = materialize(placed.selectExpr(*_expressions(columns, "spark")), f"derived-{name}")
+        # The line items were dealt out by their sums' key; dealing the sums again would shuffle all of them twice.
+        placed = rows.select(*used) if name == "tmdb" else rows.select(*used).repartitionByRange(parts, *order)
+        _STORED[key] = materialize(placed.sortWithinPartitions(*order).selectExpr(*_expressions(columns, "spark")), f"derived-{name}", "zstd")
     return _STORED[key]
 
 
