@@ -562,3 +562,39 @@ def test_inexact_passage_whose_seeds_first_occur_in_many_documents(spark):
         found = passage_chains.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
         assert {(r.doc_id, r.other_id) for r in found} == {(b, a)}
         assert found[0].n_words >= 90
+
+
+def test_context_ends_an_extension_only_where_the_texts_do():
+    """``stops`` never holds where an extension on the words goes on beyond the context."""
+    rng, sure = np.random.default_rng(7), 0
+    for _ in range(600):
+        x, y = (rng.integers(1, 4, 60).astype(np.uint64) for _ in range(2))
+        size = int(rng.integers(0, 60))
+        mine, theirs = x[:size], y[:max(0, size - int(rng.integers(0, 3)))]
+        held = [np.array([sum(int(w) << 4 * i for i, w in enumerate(v[:passage_chains.CONTEXT].tolist()))], np.uint64).view(np.int64) for v in (mine, theirs)]
+        if passage_chains.stops(*held)[0]:
+            sure += 1
+            assert passage_chains._extend(mine, theirs, 0, 0, 1)[0] <= passage_chains.CONTEXT
+    assert sure > 50
+
+
+def test_documents_alike_in_a_short_phrase_are_not_compared(spark):
+    """Many documents share a phrase of 12 words, by tens and by all; two share a changed passage as well."""
+    rng = random.Random(31)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    own = lambda n: " ".join(word() for _ in range(n))
+    phrases = [own(12) for _ in range(8)]
+    texts = [f"{own(60)} {phrases[i % 7]} {own(60)} {phrases[7]} {own(60)}" for i in range(210)]
+    passage = [word() for _ in range(90)]
+    changed = [word() if i % 20 == 13 else w for i, w in enumerate(passage)]
+    texts += [f"{own(40)} {' '.join(passage)} {own(30)}", f"{own(30)} {' '.join(changed)} {own(40)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shared = materialize(columns.heads(passage_chains.seeds(docs, "doc_id", "text")), "test-seeds")
+    nothing = spark.createDataFrame([], "doc_id long, start long, n_words long, other_id long")
+    pairs = {tuple(r) for r in passage_chains.open_pairs(shared, nothing, "doc_id").collect()}
+    # Phrases that stand at one distance are compared where both are shared.
+    assert (211, 210) in pairs and all((a - b) % 7 == 0 for a, b in pairs - {(211, 210)})
+    alone = spark.createDataFrame([(i, f"{own(60)} {phrases[i % 7]} {own(60)}") for i in range(210)], "doc_id long, text string")
+    shared = materialize(columns.heads(passage_chains.seeds(alone, "doc_id", "text")), "test-seeds")
+    assert shared.count() > 100 and passage_chains.open_pairs(shared, nothing, "doc_id").count() == 0
+    assert {(r.doc_id, r.other_id) for r in passage_chains.passages(docs).collect()} == {(211, 210)}
