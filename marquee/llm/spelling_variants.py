@@ -9,8 +9,9 @@ prefix is its first three positional bigrams in that order, widened to every occ
 later than the third; its two pivots are disjoint bigrams of the prefix of least total frequency, chosen by
 dynamic programming. One edit destroys at most one of two disjoint bigrams, so a word within one edit of ``r``
 holds a pivot of ``r`` at a position shifted by at most one; of the two words, the one whose prefix ends no later
-in the order has that pivot in the other's prefix. Joining every pivot against every prefix on (bigram, position
-within one, length within one) therefore yields every near pair, and ``levenshtein`` verifies each candidate.
+in the order has that pivot in the other's prefix. The edit lies wholly on one side of that pivot, so the text from the
+word's other end through the pivot is the same in both. Joining every pivot against every prefix on (a hash of that text,
+length within one) therefore yields every near pair, and ``levenshtein`` verifies each candidate.
 
 Defined cases: null texts have no runs; a null doc_id keeps its runs unchanged (no crc32 is defined for it);
 empty tables give no rows; repeated rows count each; runs of any length are read whole. A word with no near word
@@ -104,14 +105,19 @@ def signatures(words: DataFrame, order: DataFrame) -> DataFrame:
     return words.select("word").mapInArrow(run, "word string, kind string, g string, p int, len int")
 
 
+def candidates(sig: DataFrame) -> DataFrame:
+    """(a, b): distinct words that may be one edit apart, from their signatures; every near pair in one order at least."""
+    # The edit lies wholly right or wholly left of a pivot that outlives it: the text on its other side, pivot included, stays.
+    sides = F.explode(F.array(F.xxhash64(F.lit("head"), F.expr(f"left(word, p + {Q})")), F.xxhash64(F.lit("tail"), F.expr("substring(word, p + 1)")))).alias("side")
+    piv = sig.where("kind = 'v'").select(F.col("word").alias("a"), "len", sides)
+    pre = sig.where("kind = 'x'").select(F.col("word").alias("b"), F.col("len").alias("size"), sides)
+    pre = pre.select("b", "side", F.explode(F.sequence(F.col("size") - EDITS, F.col("size") + EDITS)).alias("len"))
+    return piv.join(pre, ["side", "len"]).where("a <> b").select("a", "b").distinct()
+
+
 def near_pairs(words: DataFrame, label: str = "variants") -> DataFrame:
     """(a, b) for every ordered pair of distinct words one insertion, deletion or replacement apart."""
-    sig = materialize(signatures(words, gram_order(words)), label)
-    piv = sig.where("kind = 'v'").select(F.col("word").alias("a"), "g", "p", "len")
-    pre = sig.where("kind = 'x'").select(F.col("word").alias("b"), "g", "p", "len")
-    for name in ("p", "len"):
-        pre = pre.withColumn(name, F.explode(F.sequence(F.col(name) - EDITS, F.col(name) + EDITS)))
-    found = piv.join(pre, ["g", "p", "len"]).where("a <> b").select("a", "b").distinct()
+    found = candidates(materialize(signatures(words, gram_order(words)), label))
     close = found.where(F.levenshtein("a", "b", EDITS) == EDITS)
     both = close.unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     return materialize(both, label)

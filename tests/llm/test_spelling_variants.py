@@ -86,3 +86,16 @@ def test_pivots_disjoint_and_least():
 
 def test_variants_empty(spark):
     assert SV.variants(spark.createDataFrame([], CLASHES)).count() == 0
+
+
+def test_words_alike_in_a_bigram_only_are_no_candidates(spark):
+    """Words of one length with the same rare bigram at the same place inside, and one near pair."""
+    rng = random.Random(5)
+    half = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    words = sorted({f"{half()}{g}{half()}" for g in ("zq", "qz", "zx", "xz", "yz") for _ in range(40)}) + ["straxqgen", "straxqgem"]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    sig = SV.signatures(table, SV.gram_order(table)).collect()
+    alike = {tuple(sorted((v.word, x.word))) for v in sig for x in sig if v.kind == "v" and x.kind == "x" and v.g == x.g and abs(v.p - x.p) <= 1 and abs(v.len - x.len) <= 1 and v.word != x.word}
+    got = {tuple(sorted(r)) for r in SV.candidates(spark.createDataFrame(sig)).collect()}
+    near = {(v, w) for i, v in enumerate(sorted(words)) for w in sorted(words)[i + 1:] if edited(v, w)}
+    assert near <= got <= alike and len(near) >= 1 and 2 * len(got) < len(alike)
