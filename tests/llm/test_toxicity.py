@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm import toxicity as T
 
@@ -97,3 +98,20 @@ def test_repeated_rows_scored_each(spark, corpus):
     docs = spark.createDataFrame(rows, CLASHES)
     out = T.score(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert out.count() == len(rows) and out.where("doc_id = 603").select("score").distinct().count() == 1
+
+
+def test_texts_do_not_meet_the_labels(spark, corpus):
+    """Rows are measured below the join with the labels, so no text of a large corpus is shuffled for its size."""
+    rows, marked = corpus
+    docs, labels = spark.createDataFrame(rows, CLASHES), spark.createDataFrame(marked, "doc_id long, x int, toxic int")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
+        idf = spark.sparkContext.broadcast(T.inverse_frequencies(docs))
+        sizes = T.example_sizes(docs, marks, idf, "doc_id", "text")
+        plan = sizes._jdf.queryExecution().executedPlan().toString()
+        assert 0 < plan.index("SortMergeJoin") < plan.index("MapInArrow")
+        assert sizes.count() == docs.where("crc32(cast(doc_id as string)) % 3 <> 1").join(marks, "doc_id").count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
