@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -29,8 +30,10 @@ from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 from marquee.llm import words as W
 from marquee.llm.registry import query
 
-#: Distinct stretches whose ids a worker keeps between slices.
-REMEMBERED = 400_000
+#: Distinct stretches after which a worker begins a new table of their ids; the one before is still looked up.
+REMEMBERED = 200_000
+#: Stretches given to the library at once.
+ENCODED = 4096
 
 
 def byte_characters() -> list[str]:
@@ -71,7 +74,9 @@ class Codec:
         self.token_length = np.fromiter(map(len, tokens), np.int64, size)
         self.token_start = np.cumsum(self.token_length) - self.token_length
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.known: dict[bytes, list[int]] = {}
+        #: Ids as bytes: objects without references, which the garbage collector does not walk.
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and where those of each text begin."""
@@ -81,15 +86,25 @@ class Codec:
         marks[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         begin = np.flatnonzero(marks)
         codes, distinct = W.encoded(W.packed(data, np.diff(begin, append=len(raw))))
-        stretches = distinct.to_pylist()
+        stretches = W.as_bytes(distinct)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [s for s in stretches if s not in self.known]
-        for s, e in zip(new, self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)):
-            self.known[s] = e.ids
-        ids = [self.known[s] for s in stretches]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        ids = list(map(known.get, stretches))
+        missing = [i for i, v in enumerate(ids) if v is None]
+        new = []
+        for i in missing:
+            found = before.get(stretches[i])
+            if found is None:
+                new.append(i)
+            else:
+                ids[i] = known[stretches[i]] = found
+        for at in range(0, len(new), ENCODED):
+            some = new[at:at + ENCODED]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([stretches[i].decode() for i in some], add_special_tokens=False)):
+                ids[i] = known[stretches[i]] = array("I", e.ids).tobytes()
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         each = counts[codes]
         out = flat[W.spread((np.cumsum(counts) - counts)[codes], each)]
         ends = np.concatenate([[0], np.cumsum(each)])

@@ -598,3 +598,31 @@ def test_documents_alike_in_a_short_phrase_are_not_compared(spark):
     shared = materialize(columns.heads(passage_chains.seeds(alone, "doc_id", "text")), "test-seeds")
     assert shared.count() > 100 and passage_chains.open_pairs(shared, nothing, "doc_id").count() == 0
     assert {(r.doc_id, r.other_id) for r in passage_chains.passages(docs).collect()} == {(211, 210)}
+
+
+def test_remembered_stretches_outlive_a_full_table(monkeypatch, texts):
+    """Ids do not depend on when a new table begins, and what was met in the one before is not encoded again."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 1)
+    with open(P.path("byte_bpe_50k.json"), "rb") as f:
+        use = bpe.Codec(f.read())
+    column = pa.array(texts, pa.string())
+    ids, bounds = use.encode(column)
+    want = [i for t in texts for i in use.tokenizer.encode(t or "", add_special_tokens=False).ids]
+    assert ids.tolist() == want and bounds[-1] == len(want)
+    calls, real = [], use.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, some, **more):
+            calls.extend(some)
+            return real.encode_batch_fast(some, **more)
+
+    use.tokenizer = Counting()
+    for _ in range(3):
+        assert use.encode(column)[0].tolist() == want
+    assert not calls
+
+
+def test_bytes_of_a_column():
+    for sizes in ([], [0], [2, 0, 3], [0, 0]):
+        column = W.packed(np.frombuffer(b"abcde", np.uint8)[:sum(sizes)], np.array(sizes, np.int64))
+        assert W.as_bytes(column) == column.to_pylist() and W.as_bytes(column.slice(1)) == column.slice(1).to_pylist()
