@@ -626,3 +626,11 @@ def test_bytes_of_a_column():
     for sizes in ([], [0], [2, 0, 3], [0, 0]):
         column = W.packed(np.frombuffer(b"abcde", np.uint8)[:sum(sizes)], np.array(sizes, np.int64))
         assert W.as_bytes(column) == column.to_pylist() and W.as_bytes(column.slice(1)) == column.slice(1).to_pylist()
+
+
+def test_slices_hand_memory_back(monkeypatch):
+    """Once, when the batches of a task are through."""
+    calls = []
+    monkeypatch.setattr(W, "_hand_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", None, "c"])], ["text"])
+    assert sum(p.num_rows for p in W.slices([batch, batch], "text", 2)) == 6 and calls == [1]
