@@ -7,7 +7,12 @@ suffix that begins alike, and a match of the first DEPTH words is extended to th
 word differs. Suffixes and left contexts are
 sorted as 64-bit hashes, which puts equal ones side by side just as their words would.
 
-Any repeat of at least MIN_WORDS words holds a kept suffix with DEPTH words to go. The array is split by ranges of the
+Any repeat of at least MIN_WORDS words holds a kept suffix with DEPTH words to go. Many documents can begin alike there, and
+which of them stand side by side says nothing of words beyond the two contexts. So windows of MIN_WORDS words around such
+suffixes that lie in no repeat found so are linked to the first document with the same whole window: any stretch of so many
+words that an earlier document holds is found, however many documents share a part of it.
+
+The array is split by ranges of the
 full sort order, so a passage that very many documents share is spread over tasks; the last and first rows of adjoining
 parts are compared as well.
 
@@ -19,7 +24,7 @@ one document; a null id is left out; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,8 @@ MIN_WORDS = 50
 #: Words of the k-mers that select positions, k-mers of a window, and words by which suffixes are sorted.
 K, WINDOW, DEPTH = 8, 24, 26
 LEFT = 24
+#: What pairs a suffix with another one, or tells that nothing before it begins alike.
+NEAREST, FIRST, LONE = -1, -2, -3
 
 
 def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -62,8 +69,12 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, text_col).where(F.col(id_col).isNotNull()).mapInArrow(run, f"g bigint, left bigint, x {kind}, pos int")
 
 
-def neighbours(array: DataFrame) -> DataFrame:
-    """(x, pos, y, at): each suffix with others before it in the array that begin alike in another document: the nearest and the first."""
+def neighbours(array: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(x, pos, y, at) and (g, x, pos).
+
+    First each suffix with others before it in the array that begin alike in another document: the nearest and the first;
+    then every suffix that begins as another one does, and a few more.
+    """
     kind = dict(array.dtypes)["x"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,8 +103,13 @@ def neighbours(array: DataFrame) -> DataFrame:
             heads = top.take(pa.array(which))
             apart = np.flatnonzero((heads["x"].to_numpy() != x[own]) & ~(good & (other == alike[which])))
             carried = top.slice(len(alike) - 1)
-            for mine, theirs in ((table.take(pa.array(own[good])), table.take(pa.array(other[good]))), (table.take(pa.array(own[apart])), heads.take(pa.array(apart)))):
-                found = pa.Table.from_arrays([mine["x"], mine["pos"], theirs["x"], theirs["pos"], mine["g"], pa.array(np.full(len(mine), -1), pa.int32())],
+            # What begins a stretch has none before it; the last stretch of a batch can go on in the next one.
+            size = np.diff(np.append(alike, len(g)))
+            size[-1] += 1
+            lone = table.take(pa.array(own[~good & (size[which] > 1)]))
+            pairs = ((NEAREST, table.take(pa.array(own[good])), table.take(pa.array(other[good]))), (FIRST, table.take(pa.array(own[apart])), heads.take(pa.array(apart))), (LONE, lone, lone))
+            for tag, mine, theirs in pairs:
+                found = pa.Table.from_arrays([mine["x"], mine["pos"], theirs["x"], theirs["pos"], mine["g"], pa.array(np.full(len(mine), tag), pa.int32())],
                                              ["x", "pos", "y", "at", "g", "edge"])
                 yield from found.combine_chunks().to_batches()
             keep = sorted({max(int(begin[-1]) - 1, 0), int(begin[-1])})
@@ -107,7 +123,49 @@ def neighbours(array: DataFrame) -> DataFrame:
     # Two rows for each part of the array.
     order = Window.orderBy("edge")
     seams = met.where("edge >= 0").select("x", "pos", "g", *(F.lag(c).over(order).alias(n) for c, n in (("x", "y"), ("pos", "at"), ("g", "before"))))
-    return met.where("edge < 0").select("x", "pos", "y", "at").unionByName(seams.where("g = before and x <> y").select("x", "pos", "y", "at"))
+    pairs = met.where(F.col("edge").isin(NEAREST, FIRST)).select("x", "pos", "y", "at").unionByName(seams.where("g = before and x <> y").select("x", "pos", "y", "at"))
+    return pairs, met.where(f"edge <> {FIRST}").select("g", "x", "pos")
+
+
+def open_windows(alike: DataFrame, found: DataFrame, docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(g, x, pos): windows of ``min_words`` words outside the repeats ``found``, around suffixes that begin alike.
+
+    The first document with a window has no earlier one, so no repeat of its own covers it there: windows inside repeats
+    can be left out on both sides.
+    """
+    kind = dict(alike.dtypes)["x"]
+    reach = min_words - DEPTH
+    end = F.col("start") + F.col("n_words")
+    spans = found.groupBy(F.col(id_col).alias("x")).agg(F.collect_list(F.struct("start", end.alias("end"), F.col("to_end").alias("last"))).alias("spans"))
+    inside = F.exists("spans", lambda v: (v["start"] <= F.greatest(F.col("pos") - reach, F.lit(0))) & (v["last"] | (F.col("pos") + min_words <= v["end"])))
+    outside = materialize(alike.join(spans, "x", "left").where(~F.coalesce(inside, F.lit(False))).select("g", "x", "pos"), "suffix-open")
+    lists = columns.heads(outside).groupBy("x").agg(F.collect_set("pos").alias("at"))
+    held = materialize(lists.join(spans, "x", "left").select(F.col("x").alias("id"), "at", "spans"), "suffix-open-documents")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in W.slices(batches, text_col):
+            words = W.split(W.named(part, text_col), W.LOWERED)
+            hashed = W.hashes(words.vocabulary)[words.codes]
+            marked = np.zeros(len(words.codes) + 1, np.int64)
+            covered = marked.copy()
+            for i, (places, known) in enumerate(zip(W.named(part, "_at"), W.named(part, "_spans").to_pylist())):
+                low, high = int(words.first[i]), int(words.first[i + 1]) - min_words
+                at = places.values.to_numpy() + low
+                first, last = np.maximum(at - reach, low), np.minimum(at, high)
+                np.add.at(marked, first[first <= last], 1)
+                np.add.at(marked, last[first <= last] + 1, -1)
+                for v in known or ():
+                    first, last = v["start"] + low, min(v["end"] + low - min_words, high)
+                    if first <= last:
+                        covered[first] += 1
+                        covered[last + 1] -= 1
+            at = np.flatnonzero((np.cumsum(marked[:-1]) > 0) & (np.cumsum(covered[:-1]) == 0))
+            row = np.searchsorted(words.first, at, "right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(W.runs(hashed, min_words)[at].view(np.int64)), W.named(part, "_x").take(pa.array(row)), pa.array(at - words.first[row], pa.int32())], ["g", "x", "pos"])
+
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
+    texts = graph.touched(named, "id", held.select("id")).join(held, "id")
+    return texts.select(F.col("id").alias("_x"), F.col("text").alias(text_col), F.col("at").alias("_at"), F.col("spans").alias("_spans")).mapInArrow(run, f"g bigint, x {kind}, pos int")
 
 
 def maximal(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
@@ -125,13 +183,35 @@ def maximal(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, min_word
     return sorted(out)
 
 
+def ahead(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
+    """As ``maximal`` in order of the places, but a place inside a match that an earlier one gave adds none.
+
+    A text of one repeated word has as many diagonals as places.
+    """
+    out, reached = [], 0
+    for at in np.lexsort((q, p)).tolist():
+        if p[at] + min_words > reached:
+            found = maximal(x, y, p[at:at + 1], q[at:at + 1], min_words)
+            out += found
+            reached = max([reached, *(s + n for s, _, n in found)])
+    return sorted(set(out))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, start, n_words, other_id, other_start): verbatim repeats of at least ``min_words`` words."""
-    pairs = neighbours(suffixes(docs, id_col, text_col))
+    pairs, alike = neighbours(suffixes(docs, id_col, text_col))
+    first = materialize(matched(pairs, docs, id_col, text_col, min_words, maximal), "suffix-repeats")
+    windows = materialize(columns.heads(open_windows(alike, first, docs, id_col, text_col, min_words)), "suffix-windows")
+    pairs = columns.pairs_with_first(windows).select("x", "pos", F.col("head_x").alias("y"), F.col("head_pos").alias("at"))
+    return first.unionByName(matched(pairs, docs, id_col, text_col, min_words, ahead)).drop("to_end")
+
+
+def matched(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, min_words: int, pick: Callable) -> DataFrame:
+    """The repeats through the places (x, pos, y, at) that ``pick`` takes, and whether they go on to the end of the text."""
     forward = F.col("x") > F.col("y")
     turned = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), F.when(forward, F.struct("pos", F.col("at").alias("q")))
                           .otherwise(F.struct(F.col("at").alias("pos"), F.col("pos").alias("q"))).alias("place"))
-    # At most as many places as a document has suffixes.
+    # At most as many places as a document has words.
     found = materialize(turned.groupBy("a", "b").agg(F.collect_set("place").alias("places")), "suffix-pairs")
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -142,14 +222,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
             out = []
             for i, places in enumerate(W.named(part, "places").to_pylist()):
                 p, q = (np.array([v[n] for v in places], np.int64) for n in ("pos", "q"))
-                for s, t, n in maximal(left[a.first[i]:a.first[i + 1]], right[b.first[i]:b.first[i + 1]], p, q, min_words):
-                    out.append((i, s, n, t))
-            cols = [np.array(c, np.int64) for c in zip(*out)] or [np.zeros(0, np.int64)] * 4
-            yield pa.RecordBatch.from_arrays([W.named(part, "a").take(pa.array(cols[0])), pa.array(cols[1]), pa.array(cols[2]), W.named(part, "b").take(pa.array(cols[0])), pa.array(cols[3])],
-                                             [id_col, "start", "n_words", "other_id", "other_start"])
+                x = left[a.first[i]:a.first[i + 1]]
+                for s, t, n in pick(x, right[b.first[i]:b.first[i + 1]], p, q, min_words):
+                    out.append((i, s, n, t, s + n == len(x)))
+            cols = [np.array(c, np.int64) for c in zip(*out)] or [np.zeros(0, np.int64)] * 5
+            yield pa.RecordBatch.from_arrays([W.named(part, "a").take(pa.array(cols[0])), pa.array(cols[1]), pa.array(cols[2]), W.named(part, "b").take(pa.array(cols[0])), pa.array(cols[3]), pa.array(cols[4] > 0)],
+                                             [id_col, "start", "n_words", "other_id", "other_start", "to_end"])
 
     texts = graph.with_texts(found, docs.where(F.col(id_col).isNotNull()), id_col, text_col).select("a", "b", "places", "text_a", "text_b")
-    return texts.mapInArrow(run, f"`{id_col}` {kind}, start bigint, n_words bigint, other_id {kind}, other_start bigint")
+    return texts.mapInArrow(run, f"`{id_col}` {kind}, start bigint, n_words bigint, other_id {kind}, other_start bigint, to_end boolean")
 
 
 @query("op8_sparse_suffixes")
