@@ -230,6 +230,43 @@ def test_grid_search_prefers_less_shrinkage(assembled):
     assert np.isclose(report["r2"], train.regression_metrics(model.transform(test_part)).first()["r2"])
 
 
+def test_staged_grid_scores_are_those_of_separate_fits(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    # One partition: which rows are sampled follows from partition and place.
+    rows = spark.range(0, 400, 1, 1).selectExpr("id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 29 AS DOUBLE) AS b", "CAST((id % 17) * (id % 29) + id % 3 AS DOUBLE) AS revenue")
+    fit_part, test_part = train.train_test_split(train.assemble(rows, ["a", "b"]).cache(), ["id"], 0.2)
+    grid = {"maxIter": [2, 5], "maxDepth": [2, 3], "stepSize": [0.1], "subsamplingRate": [0.8]}
+    boosted = train.regressors()["gradient_boosting"]
+    model, report = train.grid_search(fit_part, test_part, boosted, grid, ["id"], folds=3)
+    points = train.param_grid(boosted, grid)
+    search = CrossValidator(estimator=boosted, estimatorParamMaps=points, numFolds=3, foldCol="fold", evaluator=RegressionEvaluator(labelCol="revenue", metricName="r2"))
+    want = search.fit(train.with_fold(fit_part, ["id"], 3))
+    assert np.allclose([m for _, m in report["cv_scores"]], want.avgMetrics, rtol=1e-9)
+    assert [p for p, _ in report["cv_scores"]] == [{k.name: v for k, v in p.items()} for p in points]
+    assert model.getNumTrees == report["best_params"]["maxIter"] and model.toDebugString == want.bestModel.toDebugString.replace(want.bestModel.uid, model.uid)
+
+
+def test_grid_search_query_searches_every_point_of_the_boosting_grid(spark, monkeypatch):
+    from marquee.plans import modelling
+
+    rows = spark.range(100).selectExpr("id AS movie_id", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS revenue")
+    assembled = train.assemble(rows, ["a"]).cache()
+    monkeypatch.setattr(modelling, "_split", lambda spark, sf: (assembled, assembled))
+    asked = []
+
+    def staged(part, estimator, grid, *rest):
+        asked.append((type(estimator).__name__, grid))
+        return [-float(i != 5) for i in range(len(train.param_grid(estimator, grid)))]
+
+    monkeypatch.setattr(train, "staged_scores", staged)
+    monkeypatch.setattr(train, "GBT_GRID", {**train.GBT_GRID, "maxIter": [1, 2, 3]})
+    got = modelling.grid_search(spark, "").collect()
+    assert asked == [("GBTRegressor", train.GBT_GRID)] and len(got) == 54
+    assert [i for i, r in enumerate(got) if r.best] == [5]
+
+
 def test_importances_and_store(spark, assembled):
     from pyspark.ml.regression import RandomForestRegressor
 
