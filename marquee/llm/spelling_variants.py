@@ -16,7 +16,8 @@ length within one) therefore yields every near pair, and ``levenshtein`` verifie
 Defined cases: null texts have no runs; a null doc_id keeps its runs unchanged (no crc32 is defined for it);
 empty tables give no rows; repeated rows count each; runs of any length are read whole. A word with no near word
 has n_near 0, no form, and itself as root. Forms only point to words of at least five times the count, so
-following them ends; the root is found by repeated joins, as many as the longest chain. Columns other than id
+following them ends; the root is found by repeated joins, as many as the longest chain. Word tables grow with the
+documents and are compact as files, so no join broadcasts one. Columns other than id
 and text are not read.
 """
 
@@ -112,7 +113,8 @@ def candidates(sig: DataFrame) -> DataFrame:
     piv = sig.where("kind = 'v'").select(F.col("word").alias("a"), "len", sides)
     pre = sig.where("kind = 'x'").select(F.col("word").alias("b"), F.col("len").alias("size"), sides)
     pre = pre.select("b", "side", F.explode(F.sequence(F.col("size") - EDITS, F.col("size") + EDITS)).alias("len"))
-    return piv.join(pre, ["side", "len"]).where("a <> b").select("a", "b").distinct()
+    # Sizes are told before the rows are exploded, so neither side is left to the planner to broadcast.
+    return piv.hint("merge").join(pre, ["side", "len"]).where("a <> b").select("a", "b").distinct()
 
 
 def near_pairs(words: DataFrame, label: str = "variants") -> DataFrame:
@@ -127,9 +129,9 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """(word, form, root, n, n_near, form_n) of every counted word."""
     words = materialize(word_counts(docs, id_col, text_col), label)
     pairs = near_pairs(words, label)
-    partner = pairs.join(words.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b")
+    partner = pairs.hint("merge").join(words.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b")
     best = partner.groupBy("a").agg(F.count("*").alias("n_near"), F.min(F.struct(F.negative("nb").alias("m"), F.col("b").alias("b"))).alias("best"))
-    table = words.join(best.withColumnRenamed("a", "word"), "word", "left")
+    table = words.hint("merge").join(best.withColumnRenamed("a", "word"), "word", "left")
     strong = F.col("best").isNotNull() & (-F.col("best.m") >= FORM_RATIO * F.col("n"))
     table = table.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
                          F.when(strong, F.col("best.b")).alias("form"), F.when(strong, -F.col("best.m")).cast("long").alias("form_n"))
@@ -137,12 +139,12 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     forms = table.where("form IS NOT NULL").select(F.col("word").alias("root"), F.col("form").alias("up"))
     roots = table.select("word", F.coalesce("form", "word").alias("root"))
     while True:
-        stepped = roots.join(forms, "root", "left").select("word", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved"))
+        stepped = roots.hint("merge").join(forms, "root", "left").select("word", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved"))
         stepped = materialize(stepped, label)
         if not stepped.where("moved").limit(1).count():
             break
         roots = stepped.select("word", "root")
-    return table.join(stepped.select("word", "root"), "word").select("word", "form", "root", "n", "n_near", "form_n")
+    return table.hint("merge").join(stepped.select("word", "root"), "word").select("word", "form", "root", "n", "n_near", "form_n")
 
 
 @query("op13_spelling_variants")

@@ -99,3 +99,13 @@ def test_words_alike_in_a_bigram_only_are_no_candidates(spark):
     got = {tuple(sorted(r)) for r in SV.candidates(spark.createDataFrame(sig)).collect()}
     near = {(v, w) for i, v in enumerate(sorted(words)) for w in sorted(words)[i + 1:] if edited(v, w)}
     assert near <= got <= alike and len(near) >= 1 and 2 * len(got) < len(alike)
+
+
+def test_no_word_table_is_broadcast(spark):
+    """Explode hides how many rows the signatures become; as compact files they look small at any size."""
+    words = spark.createDataFrame([("lettered",), ("letterad",)], "word string")
+    plans = [SV.candidates(SV.signatures(words, SV.gram_order(words))), SV.variants(spark.createDataFrame([(1, "lettered " * 6 + "letterad " * 30)], "doc_id long, text string"))]
+    for plan in plans:
+        assert plan.count() == 2
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text, text
