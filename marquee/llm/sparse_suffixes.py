@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -41,6 +42,8 @@ K, WINDOW, DEPTH = 8, 24, 26
 LEFT = 24
 #: What pairs a suffix with another one, or tells that nothing before it begins alike.
 NEAREST, FIRST, LONE = -1, -2, -3
+#: More words than a text can have.
+FAR = 1 << 33
 
 
 def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -127,6 +130,11 @@ def neighbours(array: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, met.where(f"edge <> {FIRST}").select("g", "x", "pos")
 
 
+def _rows(lists: pa.ListArray) -> np.ndarray:
+    """The row of each value of the flattened lists; null counts as empty."""
+    return np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+
+
 def open_windows(alike: DataFrame, found: DataFrame, docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(g, x, pos): windows of ``min_words`` words outside the repeats ``found``, around suffixes that begin alike.
 
@@ -137,8 +145,26 @@ def open_windows(alike: DataFrame, found: DataFrame, docs: DataFrame, id_col: st
     reach = min_words - DEPTH
     end = F.col("start") + F.col("n_words")
     spans = found.groupBy(F.col(id_col).alias("x")).agg(F.collect_list(F.struct("start", end.alias("end"), F.col("to_end").alias("last"))).alias("spans"))
-    inside = F.exists("spans", lambda v: (v["start"] <= F.greatest(F.col("pos") - reach, F.lit(0))) & (v["last"] | (F.col("pos") + min_words <= v["end"])))
-    outside = materialize(alike.join(spans, "x", "left").where(~F.coalesce(inside, F.lit(False))).select("g", "x", "pos"), "suffix-open")
+
+    def outside(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, known = W.named(batch, "places"), W.named(batch, "spans")
+            row, at = _rows(places), places.flatten()
+            pos, span = at.field("pos").to_numpy().astype(np.int64), known.flatten()
+            begin, ends = span.field("start").to_numpy().astype(np.int64), span.field("end").to_numpy().astype(np.int64)
+            ends = np.where(span.field("last").to_numpy(zero_copy_only=False), FAR - 1, ends)
+            # Rows lie FAR apart on one axis; of the spans that begin early enough, the one that ends last decides.
+            base = _rows(known) * FAR
+            order = np.argsort(base + begin)
+            begin, ends = (base + begin)[order], np.maximum.accumulate((base + ends)[order])
+            before = np.searchsorted(begin, row * FAR + np.maximum(pos - reach, 0), "right")
+            reached = np.concatenate([[-1], ends])[before]
+            keep = pa.array(np.flatnonzero(reached < row * FAR + pos + min_words))
+            yield pa.RecordBatch.from_arrays([at.field("g").take(keep), W.named(batch, "x").take(pa.array(row)).take(keep), at.field("pos").take(keep)], ["g", "x", "pos"])
+
+    # One row for each document: its spans are met once, not by every suffix.
+    listed = alike.groupBy("x").agg(F.collect_list(F.struct("g", "pos")).alias("places")).join(spans, "x", "left")
+    outside = materialize(listed.mapInArrow(outside, f"g bigint, x {kind}, pos int"), "suffix-open")
     lists = columns.heads(outside).groupBy("x").agg(F.collect_set("pos").alias("at"))
     held = materialize(lists.join(spans, "x", "left").select(F.col("x").alias("id"), "at", "spans"), "suffix-open-documents")
 
@@ -199,9 +225,11 @@ def ahead(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, min_words:
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, start, n_words, other_id, other_start): verbatim repeats of at least ``min_words`` words."""
-    pairs, alike = neighbours(suffixes(docs, id_col, text_col))
+    # Ranges are sampled in a pass of their own, so what they divide is written first.
+    pairs, alike = neighbours(materialize(suffixes(docs, id_col, text_col), "suffix-array"))
     first = materialize(matched(pairs, docs, id_col, text_col, min_words, maximal), "suffix-repeats")
-    windows = materialize(columns.heads(open_windows(alike, first, docs, id_col, text_col, min_words)), "suffix-windows")
+    windows = materialize(open_windows(alike, first, docs, id_col, text_col, min_words), "suffix-open-windows")
+    windows = materialize(columns.heads(windows), "suffix-windows")
     pairs = columns.pairs_with_first(windows).select("x", "pos", F.col("head_x").alias("y"), F.col("head_pos").alias("at"))
     return first.unionByName(matched(pairs, docs, id_col, text_col, min_words, ahead)).drop("to_end")
 
@@ -217,13 +245,18 @@ def matched(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, min_w
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "text_a", W.SLICE_BYTES // 2, "text_b"):
-            a, b = (W.split(W.named(part, c), W.LOWERED) for c in ("text_a", "text_b"))
+            # Pairs that share a document stand together; its text is cut into words once.
+            (at_a, texts_a), (at_b, texts_b) = (W.once(W.named(part, c)) for c in ("text_a", "text_b"))
+            a, b = W.split(texts_a, W.LOWERED), W.split(texts_b, W.LOWERED)
             left, right = W.hashes(a.vocabulary)[a.codes], W.hashes(b.vocabulary)[b.codes]
+            places = W.named(part, "places")
+            place, bounds = places.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(places).to_numpy())]).tolist()
+            ps, qs = (place.field(n).to_numpy().astype(np.int64) for n in ("pos", "q"))
             out = []
-            for i, places in enumerate(W.named(part, "places").to_pylist()):
-                p, q = (np.array([v[n] for v in places], np.int64) for n in ("pos", "q"))
-                x = left[a.first[i]:a.first[i + 1]]
-                for s, t, n in pick(x, right[b.first[i]:b.first[i + 1]], p, q, min_words):
+            for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+                p, q = ps[lo:hi], qs[lo:hi]
+                x = left[a.first[at_a[i]]:a.first[at_a[i] + 1]]
+                for s, t, n in pick(x, right[b.first[at_b[i]]:b.first[at_b[i] + 1]], p, q, min_words):
                     out.append((i, s, n, t, s + n == len(x)))
             cols = [np.array(c, np.int64) for c in zip(*out)] or [np.zeros(0, np.int64)] * 5
             yield pa.RecordBatch.from_arrays([W.named(part, "a").take(pa.array(cols[0])), pa.array(cols[1]), pa.array(cols[2]), W.named(part, "b").take(pa.array(cols[0])), pa.array(cols[3]), pa.array(cols[4] > 0)],
